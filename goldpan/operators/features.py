@@ -7,10 +7,11 @@ constant column to 0.5.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import (
     PCA,
@@ -165,6 +166,19 @@ def eliminate_features(df: DataFrame, estimator: Estimator, keep: int, step: flo
         active = [f for i, f in enumerate(active) if i not in weakest]
 
 
+def map_vectors(df: DataFrame, function: Callable[[np.ndarray], np.ndarray], source: str, output: str) -> DataFrame:
+    """A dense vector map as matrix products over Arrow batches.
+
+    Written as column expressions, m outputs of d inputs are m x d nodes and soon exceed what can be compiled.
+    """
+
+    @F.pandas_udf("array<double>")
+    def mapped(vectors: pd.Series) -> pd.Series:
+        return pd.Series(list(function(np.stack(vectors.to_numpy()).astype(float))) if len(vectors) else [])
+
+    return df.withColumn(output, array_to_vector(mapped(vector_to_array(source))))
+
+
 @dataclass(frozen=True)
 class FourierMap:
     """Random Fourier features of an RBF kernel: sqrt(2/m) cos(Wx + b) with a seeded W."""
@@ -178,14 +192,9 @@ class FourierMap:
         return cls(rng.normal(scale=(2.0 * gamma) ** 0.5, size=(components, dims)), rng.uniform(0, 2 * np.pi, components))
 
     def transform(self, df: DataFrame, source: str = "features", output: str = "rff") -> DataFrame:
-        factor = F.lit((2.0 / len(self.phases)) ** 0.5)
-        parts = [F.cos(_dot(F.col("_x"), w) + F.lit(float(b))) * factor for w, b in zip(self.weights, self.phases)]
-        mapped = df.withColumn("_x", vector_to_array(source))
-        return mapped.withColumn(output, array_to_vector(F.array(*parts))).drop("_x")
-
-
-def _dot(array: Column, weights: Sequence[float]) -> Column:
-    return sum((F.get(array, F.lit(i)) * F.lit(float(w)) for i, w in enumerate(weights)), F.lit(0.0))
+        weights, phases = self.weights, self.phases
+        factor = (2.0 / len(phases)) ** 0.5
+        return map_vectors(df, lambda x: factor * np.cos(x @ weights.T + phases), source, output)
 
 
 @dataclass(frozen=True)
@@ -206,15 +215,13 @@ class NystroemMap:
         return cls(marks, (u / np.sqrt(np.maximum(s, 1e-12))) @ vt, gamma)
 
     def transform(self, df: DataFrame, source: str = "features", output: str = "nystroem") -> DataFrame:
-        x = F.col("_x")
-        d = self.landmarks.shape[1]
-        kernel = [
-            F.exp(-F.lit(self.gamma) * sum((F.pow(F.get(x, F.lit(i)) - F.lit(float(m[i])), 2) for i in range(d)), F.lit(0.0)))
-            for m in self.landmarks
-        ]
-        mapped = df.withColumn("_x", vector_to_array(source)).withColumn("_k", F.array(*kernel))
-        rows = [_dot(F.col("_k"), w) for w in self.whitening]
-        return mapped.withColumn(output, array_to_vector(F.array(*rows))).drop("_x", "_k")
+        marks, whitening, gamma = self.landmarks, self.whitening, self.gamma
+
+        def kernel(x: np.ndarray) -> np.ndarray:
+            squared = (x**2).sum(axis=1)[:, None] - 2 * x @ marks.T + (marks**2).sum(axis=1)
+            return np.exp(-gamma * np.maximum(squared, 0)) @ whitening.T
+
+        return map_vectors(df, kernel, source, output)
 
 
 def stack_prediction(df: DataFrame, inner: Estimator, source: str = "features", output: str = "stacked") -> DataFrame:

@@ -97,6 +97,11 @@ def time_split_long(df: DataFrame, series: Sequence[str], order: Sequence[str],
     return numbered.withColumn("is_train", F.col("_rn") <= F.floor(F.col("_n") * F.lit(share))).drop("_rn", "_n")
 
 
+def number_tests(test: DataFrame, series: str = "series_id", ds: str = "ds") -> DataFrame:
+    """Adds ``step``: how many moments after the training part a row lies."""
+    return test.withColumn("step", F.row_number().over(_order(ds, series)))
+
+
 def series_end(df: DataFrame, series: str = "series_id", ds: str = "ds") -> DataFrame:
     return df.groupBy(series).agg(F.max(ds).alias("_last"))
 
