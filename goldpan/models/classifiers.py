@@ -110,13 +110,13 @@ def linear_svc(c: float = 1.0, max_iter: int = 100) -> Fit:
     return fit
 
 
-def rff_svc(components: int = 100, gamma: float | None = None, c: float = 1.0, seed: int = 42) -> Fit:
+def rff_svc(components: int = 100, gamma: float | None = None, c: float = 1.0, max_iter: int = 100, seed: int = 42) -> Fit:
     """Linear support vectors on random Fourier features: an RBF kernel without a kernel matrix."""
 
     def fit(train: DataFrame) -> Predict:
         d = train.select(F.size(vector_to_array("features"))).first()[0]
         fourier = FourierMap.draw(d, components, gamma or 1.0 / d, seed)
-        estimator = LinearSVC(labelCol="y", featuresCol="rff", regParam=1.0 / (c * train.count()), standardization=False)
+        estimator = LinearSVC(labelCol="y", featuresCol="rff", maxIter=max_iter, regParam=1.0 / (c * train.count()), standardization=False)
         inner = calibrated(estimator)(fourier.transform(train))
         return lambda df: inner(fourier.transform(df)).drop("rff")
 

@@ -131,13 +131,14 @@ def variance_select(spark, folder):
 
 
 def priced_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Regression rows: extended price from quantity, discount, tax and the retail price of the part."""
+    """Regression rows: the charge of a line from its quantity, price, discount, tax and the retail price of the part."""
     parts = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
-    rows = table(spark, folder, "lineitem").select(*LINE_KEY, "l_quantity", "l_discount", "l_tax", F.col("l_extendedprice").alias("y"))
+    charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    rows = table(spark, folder, "lineitem").select(*LINE_KEY, *LINE_FEATURES, charge.alias("y"))
     return rows.join(parts, "l_partkey")
 
 
-PRICE_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_retailprice"]
+PRICE_FEATURES = [*LINE_FEATURES, "p_retailprice"]
 
 
 @query("q_univariate_select")
@@ -205,4 +206,4 @@ def feature_union(spark, folder):
 def stacking(spark, folder):
     rows = features.assemble(priced_lines(spark, folder), PRICE_FEATURES)
     stacked = features.stack_prediction(rows, LinearRegression(labelCol="y", solver="normal"))
-    return spread(stacked, "stacked", 5, LINE_KEY)
+    return spread(stacked, "stacked", 6, LINE_KEY)

@@ -14,6 +14,7 @@ from goldpan.queries.features import LINE_KEY, LINE_KEY_SQL, PRICE_FEATURES, pri
 from goldpan.queries.registry import query, table
 from goldpan.session import scratch_path
 
+FOLDS = 3
 TEXT_FEATURES = ["n_chars", "n_words", "n_lines", "digit_share", "upper_share", "mean_word"]
 
 
@@ -43,11 +44,11 @@ def _judge_classifier(spark, folder, fit: Fit) -> DataFrame:
 
 
 def _judge_regressor(spark, folder, fit: Fit) -> DataFrame:
-    """Metrics of one regressor on the extended price of the lines."""
+    """Metrics of one regressor on the charge of the lines."""
     marked = split.holdout(priced_lines(spark, folder), LINE_KEY, 0.2, 42)
     scale = features.fit_standard(marked.filter(~F.col("is_test")), PRICE_FEATURES)
     rows = features.assemble(scale.transform(marked), PRICE_FEATURES)
-    rows = split.folds(rows, LINE_KEY, 5).select("features", "y", "is_test", "fold").persist()
+    rows = split.folds(rows, LINE_KEY, FOLDS).select("features", "y", "is_test", "fold").persist()
     predicted = fit(rows.filter(~F.col("is_test")))(rows.filter("is_test")).select(F.lit("all").alias("part"), "y", "yhat")
     sized = metrics.regression_metrics(predicted, ["part"])
     return sized.drop("part")
@@ -69,16 +70,16 @@ _classifier("q_clf_forest", lambda: classifiers.forest(20, 8))
 _classifier("q_clf_gbt", lambda: classifiers.boosting(10))
 _classifier("q_clf_adaboost", lambda: classifiers.adaboost(5))
 _classifier("q_clf_bagging", lambda: classifiers.bagging(10, 8))
-_classifier("q_clf_rff_svc", lambda: classifiers.rff_svc(50))
-_classifier("q_clf_linear_svc", lambda: classifiers.linear_svc(max_iter=50))
-_classifier("q_clf_mlp", lambda: classifiers.mlp((50, 50), 100))
+_classifier("q_clf_rff_svc", lambda: classifiers.rff_svc(50, max_iter=8))
+_classifier("q_clf_linear_svc", lambda: classifiers.linear_svc(max_iter=8))
+_classifier("q_clf_mlp", lambda: classifiers.mlp((50, 50), 30))
 
 _regressor("q_reg_linear", regressors.linear)
 _regressor("q_reg_ridge", regressors.ridge)
-_regressor("q_reg_ridge_cv", lambda: regressors.cross_validated((0.001, 1.0), 0.0, 3))
+_regressor("q_reg_ridge_cv", lambda: regressors.cross_validated((0.001, 1.0), 0.0, FOLDS))
 _regressor("q_reg_lasso", regressors.lasso)
 _regressor("q_reg_elasticnet", regressors.elastic_net)
-_regressor("q_reg_elasticnet_cv", lambda: regressors.cross_validated((0.001, 1.0), 0.5, 3))
+_regressor("q_reg_elasticnet_cv", lambda: regressors.cross_validated((0.001, 1.0), 0.5, FOLDS))
 _regressor("q_reg_bayes_ridge", regressors.bayesian_ridge)
 _regressor("q_reg_tree", lambda: regressors.tree(8))
 _regressor("q_reg_forest", lambda: regressors.forest(10, 8))
