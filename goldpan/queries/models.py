@@ -12,7 +12,7 @@ from goldpan.operators import features, neighbors, split
 from goldpan.plans import search
 from goldpan.queries.features import LINE_KEY, LINE_KEY_SQL, PRICE_FEATURES, priced_lines
 from goldpan.queries.registry import query, table
-from goldpan.session import scratch_path
+from goldpan.session import materialize, scratch_path
 
 FOLDS = 3
 TEXT_FEATURES = ["n_chars", "n_words", "n_lines", "digit_share", "upper_share", "mean_word"]
@@ -38,9 +38,11 @@ def _judge_classifier(spark, folder, fit: Fit) -> DataFrame:
     marked = split.exact_holdout(labeled_documents(spark, folder), ["row_id"], 0.2, 42, ["y"])
     scale = features.fit_standard(marked.filter(~F.col("is_test")), TEXT_FEATURES)
     rows = features.assemble(scale.transform(marked), TEXT_FEATURES).select("row_id", "features", "y", "is_test").persist()
-    predicted = fit(rows.filter(~F.col("is_test")))(rows.filter("is_test")).select(F.lit("all").alias("part"), "y", "yhat", "score").persist()
-    sizes = predicted.groupBy("part").agg(F.count("*").alias("test_rows"))
-    return metrics.classification_metrics(predicted, ["part"]).join(sizes, "part").drop("part")
+    predicted = fit(rows.filter(~F.col("is_test")))(rows.filter("is_test"))
+    kept = materialize(predicted.select(F.lit("all").alias("part"), "y", "yhat", "score"))
+    rows.unpersist()
+    sizes = kept.groupBy("part").agg(F.count("*").alias("test_rows"))
+    return metrics.classification_metrics(kept, ["part"]).join(sizes, "part").drop("part")
 
 
 def _judge_regressor(spark, folder, fit: Fit) -> DataFrame:
@@ -49,9 +51,10 @@ def _judge_regressor(spark, folder, fit: Fit) -> DataFrame:
     scale = features.fit_standard(marked.filter(~F.col("is_test")), PRICE_FEATURES)
     rows = features.assemble(scale.transform(marked), PRICE_FEATURES)
     rows = split.folds(rows, LINE_KEY, FOLDS).select("features", "y", "is_test", "fold").persist()
-    predicted = fit(rows.filter(~F.col("is_test")))(rows.filter("is_test")).select(F.lit("all").alias("part"), "y", "yhat")
-    sized = metrics.regression_metrics(predicted, ["part"])
-    return sized.drop("part")
+    predicted = fit(rows.filter(~F.col("is_test")))(rows.filter("is_test"))
+    judged = materialize(metrics.regression_metrics(predicted.select(F.lit("all").alias("part"), "y", "yhat"), ["part"]).drop("part"))
+    rows.unpersist()
+    return judged
 
 
 def _classifier(name: str, build) -> None:
