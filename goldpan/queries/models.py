@@ -99,7 +99,7 @@ _regressor("q_reg_poly2", regressors.polynomial)
 
 _TRAIN = f"substr(md5('42|' || {LINE_KEY_SQL}), 1, 8) >= '33333333'"
 _CODED = f"""
-    coded AS (SELECT {', '.join(LINE_KEY)}, l_quantity AS a, l_extendedprice / 1000 AS b, l_discount, l_tax,
+    coded AS (SELECT row_number() OVER () AS rid, {', '.join(LINE_KEY)}, l_quantity AS a, l_extendedprice / 1000 AS b, l_discount, l_tax,
                      CASE l_returnflag WHEN 'R' THEN 1.0::DOUBLE WHEN 'A' THEN 2 ELSE 0 END AS y, {_TRAIN} AS is_train FROM lineitem)"""
 
 
@@ -119,11 +119,11 @@ def _predict_lines(spark, folder, columns: list[str], fit: Fit) -> DataFrame:
 @query("q_clf_gaussian_nb", f"""
     WITH {_CODED}, s AS (SELECT y, count(*) AS n, avg(a) AS ma, avg(b) AS mb, var_pop(a) AS va, var_pop(b) AS vb FROM coded WHERE is_train GROUP BY y),
     e AS (SELECT 1e-9 * greatest(var_pop(a), var_pop(b)) AS eps FROM coded WHERE is_train),
-    l AS (SELECT {', '.join('c.' + k for k in LINE_KEY)}, s.y AS yhat,
-                 ln(n::DOUBLE / sum(n) OVER (PARTITION BY {', '.join('c.' + k for k in LINE_KEY)}))
+    l AS (SELECT c.rid, {', '.join('c.' + k for k in LINE_KEY)}, s.y AS yhat,
+                 ln(n::DOUBLE / (SELECT sum(n) FROM s))
                  - 0.5 * ln(2 * pi() * (va + eps)) - (a - ma) * (a - ma) / (2 * (va + eps)) - 0.5 * ln(2 * pi() * (vb + eps)) - (b - mb) * (b - mb) / (2 * (vb + eps)) AS score
           FROM coded c, s, e)
-    SELECT {', '.join(LINE_KEY)}, arg_max(yhat, score) AS yhat FROM l GROUP BY ALL""")
+    SELECT {', '.join(LINE_KEY)}, yhat FROM l QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, yhat) = 1""")
 def clf_gaussian_nb(spark, folder):
     return _predict_lines(spark, folder, ["a", "b"], classifiers.gaussian_nb())
 
@@ -131,10 +131,10 @@ def clf_gaussian_nb(spark, folder):
 @query("q_clf_bernoulli_nb", f"""
     WITH {_CODED}, bits AS (SELECT *, (l_discount > 0)::INT AS d, (l_tax > 0)::INT AS t FROM coded),
     s AS (SELECT y, count(*) AS n, (sum(d) + 1.0) / (count(*) + 2) AS pd, (sum(t) + 1.0) / (count(*) + 2) AS pt FROM bits WHERE is_train GROUP BY y),
-    l AS (SELECT {', '.join('c.' + k for k in LINE_KEY)}, s.y AS yhat,
+    l AS (SELECT c.rid, {', '.join('c.' + k for k in LINE_KEY)}, s.y AS yhat,
                  ln(n::DOUBLE / (SELECT sum(n) FROM s)) + ln(CASE d WHEN 1 THEN pd ELSE 1 - pd END) + ln(CASE t WHEN 1 THEN pt ELSE 1 - pt END) AS score
           FROM bits c, s)
-    SELECT {', '.join(LINE_KEY)}, arg_max(yhat, score) AS yhat FROM l GROUP BY ALL""")
+    SELECT {', '.join(LINE_KEY)}, yhat FROM l QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, yhat) = 1""")
 def clf_bernoulli_nb(spark, folder):
     return _predict_lines(spark, folder, ["l_discount", "l_tax"], classifiers.bernoulli_nb())
 
@@ -148,11 +148,11 @@ def _discriminant_sql(pooled: bool) -> str:
         covs = "v AS (SELECT y, n, ma, mb, saa / (n - 1) AS vaa, sbb / (n - 1) AS vbb, sab / (n - 1) AS vab FROM s)"
     return f"""
     WITH {_CODED}, {per_class}, {covs},
-    l AS (SELECT {', '.join('c.' + k for k in LINE_KEY)}, v.y AS yhat,
+    l AS (SELECT c.rid, {', '.join('c.' + k for k in LINE_KEY)}, v.y AS yhat,
                  ln(n::DOUBLE / (SELECT sum(n) FROM s)) - 0.5 * ln(vaa * vbb - vab * vab)
                  - 0.5 * (vbb * (a - ma) * (a - ma) - 2 * vab * (a - ma) * (b - mb) + vaa * (b - mb) * (b - mb)) / (vaa * vbb - vab * vab) AS score
           FROM coded c, v)
-    SELECT {', '.join(LINE_KEY)}, arg_max(yhat, score) AS yhat FROM l GROUP BY ALL"""
+    SELECT {', '.join(LINE_KEY)}, yhat FROM l QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, yhat) = 1"""
 
 
 @query("q_clf_qda", _discriminant_sql(False))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,16 +23,29 @@ def arrange(df: DataFrame, partitions: int | None, partition_by: Sequence[str],
     return df.sortWithinPartitions(*keys) if keys else df
 
 
+def stored_rows(spark: SparkSession, file_format: str, path: str) -> int:
+    """Rows below a lake path; a count without columns is answered from the file footers of columnar formats."""
+    try:
+        return spark.read.format(file_format).load(path).count()
+    except AnalysisException:  # nothing is stored there yet
+        return 0
+
+
 def write_lake(df: DataFrame, destination: Mapping, sorting: Sequence[str] = (), partitions: int | None = None) -> int:
-    """Write as configured (format, mode, compression, partition columns) and return the number of rows written."""
-    seen = Observation()
+    """Write as configured (format, mode, compression, partition columns) and return by how many rows the target grew.
+
+    The rows are counted where they were stored.  An observed metric would be cheaper by one listing, but a session
+    that has used one can no longer ship Spark ML models with training summaries to its tasks.
+    """
     partition_by = destination.get("partitionBy") or []
-    rows = arrange(df, partitions, partition_by, sorting).observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer = rows.write.format(destination["file_format"]).mode(destination.get("mode") or "errorifexists")
+    file_format, path = destination["file_format"], destination["path"]
+    mode = destination.get("mode") or "errorifexists"
+    before = 0 if mode == "overwrite" else stored_rows(df.sparkSession, file_format, path)
+    writer = arrange(df, partitions, partition_by, sorting).write.format(file_format).mode(mode)
     if destination.get("compression"):
         writer = writer.option("compression", destination["compression"])
-    writer.partitionBy(*partition_by).save(destination["path"])
-    return seen.get["rows"]
+    writer.partitionBy(*partition_by).save(path)
+    return stored_rows(df.sparkSession, file_format, path) - before
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
