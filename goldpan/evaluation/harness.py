@@ -1,7 +1,7 @@
 """Evaluate configured models over repeated holdouts and rank them.
 
-Every (run, model) is fitted by Spark jobs; its predictions are written once to the shared folder, and one
-aggregation over all written predictions gives the metric rows.  A model that fails is reported and skipped.
+Every (run, model) is fitted by Spark jobs and judged by aggregations over its predictions; only metric rows, one
+per model and run, reach the driver.  A model that fails is reported and skipped.
 """
 
 from __future__ import annotations
@@ -21,7 +21,9 @@ from goldpan.operators.columns import drop_null_rows
 from goldpan.session import materialize, scratch_path
 
 STATUS = "problem string, model string, run int, status string, message string"
-PREDICTIONS = "model string, run int, is_test boolean, y double, yhat double, score double"
+PREDICTIONS = "model string, run int, y double, yhat double, score double"
+REGRESSION_ROWS = ("problem string, model string, run int, train_mae double, test_mae double, test_mse double,"
+                   " test_rmse double, test_r2 double")
 
 
 def resolve(problem: str, models: Mapping[str, object]) -> dict[str, Fit | Exception]:
@@ -39,22 +41,21 @@ def _failure(error: Exception) -> str:
     return f"{type(error).__name__}: {(str(error).splitlines() or [''])[0]}"
 
 
-def predictions(
+def fit_all(
     df: DataFrame,
     problem: str,
     columns: Sequence[str],
     models: Mapping[str, object],
     keys: Sequence[str],
+    consume: Callable[[str, int, DataFrame], None],
     runs: int = 5,
     fraction: float = 0.2,
     fit_on: str = "train",
-) -> tuple[DataFrame, DataFrame]:
-    """Predictions of all models over all runs, and the status of every (model, run).
+) -> DataFrame:
+    """Fit every model in every run, hand its predictions to ``consume``, and return the status of every (model, run).
 
     ``fit_on="all"`` scales with the moments of all rows before the split; the default uses training rows only.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, "predictions")
     built = resolve(problem, models)
     status: list[tuple] = []
     wide = prep.fit_standard(df, columns) if fit_on == "all" else None
@@ -63,39 +64,58 @@ def predictions(
         marked = split.exact_holdout(df, keys, fraction, run, strata)
         scale = wide or prep.fit_standard(marked.filter(~F.col("is_test")), columns)
         rows = prep.assemble(scale.transform(marked), columns).persist()  # reused by every model of the run
-        train = rows.filter(~F.col("is_test")).drop("is_test")
+        train = rows.filter(~F.col("is_test"))
         for name, fit in built.items():
             try:
                 if isinstance(fit, Exception):
                     raise fit
-                out = fit(train)(rows if problem == "regression" else rows.filter("is_test"))
-                out.select(F.lit(name).alias("model"), F.lit(run).alias("run"), "is_test", "y", F.col("yhat").cast("double").alias("yhat"),
-                           "score").write.mode("append").parquet(path)
+                predict = fit(train.drop("is_test"))
+                # the training error is part of a regression result; a classifier is judged on test rows only
+                consume(name, run, predict(rows if problem == "regression" else rows.filter("is_test")))
                 status.append((problem, name, run, "ok", None))
             except Exception as error:  # one failing model must not end the evaluation
                 status.append((problem, name, run, "failed", _failure(error)))
         rows.unpersist()
-    done = any(s[3] == "ok" for s in status)
-    written = spark.read.schema(PREDICTIONS).parquet(path) if done else spark.createDataFrame([], PREDICTIONS)
-    return written, spark.createDataFrame(status, STATUS)
+    return df.sparkSession.createDataFrame(status, STATUS)
 
 
 def evaluate_classification(df: DataFrame, columns: Sequence[str], models: Mapping[str, object], keys: Sequence[str],
                             weights: Mapping[str, float] = scoring.CLASSIFICATION_WEIGHTS, **options) -> tuple[DataFrame, DataFrame]:
-    """Ranked metric rows per model and run, and the status rows.  ``df`` has numeric ``columns``, ``y`` and ``keys``."""
-    written, status = predictions(df, "classification", columns, models, keys, **options)
+    """Ranked metric rows per model and run, and the status rows.  ``df`` has numeric ``columns``, ``y`` and ``keys``.
+
+    The test predictions are stored once, because the ROC curve needs more than one pass over them; one aggregation
+    over all of them then gives the metrics of all models and runs.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "predictions")
+    spark.createDataFrame([], PREDICTIONS).write.parquet(path)
+
+    def store(name: str, run: int, out: DataFrame) -> None:
+        out.select(F.lit(name).alias("model"), F.lit(run).alias("run"), F.col("y").cast("double").alias("y"),
+                   F.col("yhat").cast("double").alias("yhat"), "score").write.mode("append").parquet(path)
+
+    status = fit_all(df, "classification", columns, models, keys, store, **options)
+    written = spark.read.schema(PREDICTIONS).parquet(path)
     rows = metrics.classification_metrics(written, ["model", "run"]).withColumn("problem", F.lit("classification"))
     return scoring.leaderboard(scoring.score_classification(materialize(rows), weights)), status
 
 
 def evaluate_regression(df: DataFrame, columns: Sequence[str], models: Mapping[str, object], keys: Sequence[str],
                         weights: Mapping[str, float] = scoring.REGRESSION_WEIGHTS, **options) -> tuple[DataFrame, DataFrame]:
-    """As for classification, with the training MAE next to the test metrics."""
-    written, status = predictions(df, "regression", columns, models, keys, **options)
-    by = ["model", "run"]
-    train = metrics.regression_metrics(written.filter(~F.col("is_test")), by, "train_").select(*by, "train_mae")
-    rows = metrics.regression_metrics(written.filter("is_test"), by).join(train, by).withColumn("problem", F.lit("regression"))
-    return scoring.leaderboard(scoring.score_regression(materialize(rows), weights)), status
+    """As for classification, with the training MAE next to the test metrics.
+
+    One aggregation per fit: two rows of sums come back, no prediction is stored.
+    """
+    found: list[tuple] = []
+
+    def judge(name: str, run: int, out: DataFrame) -> None:
+        parts = {r["is_test"]: r for r in metrics.regression_metrics(out.select("is_test", "y", "yhat"), ["is_test"], "").collect()}
+        test = parts[True]
+        found.append(("regression", name, run, parts[False]["mae"], test["mae"], test["mse"], test["rmse"], test["r2"]))
+
+    status = fit_all(df, "regression", columns, models, keys, judge, **options)
+    rows = df.sparkSession.createDataFrame(found, REGRESSION_ROWS)
+    return scoring.leaderboard(scoring.score_regression(rows, weights)), status
 
 
 def _autoregression(train: DataFrame, test: DataFrame, horizon: int) -> DataFrame:

@@ -103,7 +103,7 @@ def positional_values(
     """
     counted = df.filter(F.col(value).isNotNull()).groupBy(name, value).agg(F.count("*").alias("_n"))
     located = running_totals(counted, [name], [value], {"_upto": F.col("_n")})
-    sizes = {r[0]: r[1] for r in counted.groupBy(name).agg(F.sum("_n")).collect()}
+    sizes = {r[0]: r[1] for r in located.groupBy(name).agg(F.max("_upto")).collect()}
     wanted = {}
     for key, n in sizes.items():
         for f in fractions:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from goldpan.functions.hashing import digest, digest_below, fold_of
 
+MAX_BROADCAST_STRATA = 1000
 BUCKET_DIGITS = 5  # 16**5 digest buckets: about n / 1e6 rows in each
 
 
@@ -48,10 +49,15 @@ def exact_holdout(
         .filter(F.col("_rank") == F.col("_need"))
         .select(*groups, F.col("_digest").alias("_cut"))
     )
-    # one row per stratum, digest by digest comparison; the planner broadcasts it when it is small
+    found = cuts.limit(MAX_BROADCAST_STRATA + 1).collect()
+    if not strata:
+        is_test = F.col("_digest") <= F.lit(found[0]["_cut"]) if found else F.lit(False)
+        return hashed.withColumn("is_test", is_test).drop("_digest", "_all")
+    if len(found) <= MAX_BROADCAST_STRATA:  # one cut per stratum, the size is known
+        cuts = F.broadcast(df.sparkSession.createDataFrame(found, cuts.schema))
+    # with more strata than that the planner decides, and splits a stratum that holds most rows
     marked = hashed.join(cuts, groups, "left")
-    return marked.withColumn("is_test", F.coalesce(F.col("_digest") <= F.col("_cut"), F.lit(False))).drop(
-        "_digest", "_cut", "_all")
+    return marked.withColumn("is_test", F.coalesce(F.col("_digest") <= F.col("_cut"), F.lit(False))).drop("_digest", "_cut")
 
 
 def repeated_holdout(df: DataFrame, keys: Sequence[str], fraction: float = 0.2, runs: int = 5) -> DataFrame:
