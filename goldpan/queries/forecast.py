@@ -11,7 +11,8 @@ from goldpan.evaluation import harness
 from goldpan.models import forecast
 from goldpan.operators import series
 from goldpan.queries.registry import query
-from goldpan.queries.series import DAILY_SQL, HOURLY_SQL, daily, hourly, text
+from goldpan.queries.series import DAILY_SQL, daily, hourly, text
+from goldpan.session import materialize
 
 
 def prices(spark: SparkSession, folder: str) -> DataFrame:
@@ -46,7 +47,7 @@ def forecast_inputs(spark, folder):
     FROM joined WINDOW f AS (PARTITION BY series_id ORDER BY ds ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
                        b AS (PARTITION BY series_id ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def forecast_frame(spark, folder):
-    frame = forecast.forecast_frame(forecast.prepare_regressors(prices(spark, folder)))
+    frame = forecast.forecast_frame(materialize(forecast.prepare_regressors(prices(spark, folder))))
     return frame.select("series_id", text(), F.round("volume_avg", 4).alias("volume_avg"), F.round("sma", 4).alias("sma"))
 
 
@@ -68,7 +69,7 @@ def _design_sql() -> str:
 
 @query("q_ts_design", _design_sql())
 def ts_design(spark, folder):
-    history = prices(spark, folder)
+    history = materialize(prices(spark, folder))
     rows = history.join(_DESIGN.facts(history), "series_id")
     return rows.select("series_id", text(), *[(F.round(c, 6) + 0.0).alias(n) for n, c, _ in _DESIGN.columns() if n != "one"])
 
@@ -89,7 +90,7 @@ def ts_seasonal(spark, folder):
 
 @query("q_ts_decomp")
 def ts_decomp(spark, folder):
-    history = hours(spark, folder)
+    history = materialize(hours(spark, folder))
     model = forecast.Decomposition(daily=4)
     frame = series.future_frame(history, 24, "interval 1 hour")
     return model.predict(model.fit(history), frame).withColumn("ds", F.date_format("ds", "yyyy-MM-dd HH:mm"))
@@ -97,7 +98,7 @@ def ts_decomp(spark, folder):
 
 @query("q_ts_decomp_regressors")
 def ts_decomp_regressors(spark, folder):
-    prepared = forecast.prepare_regressors(prices(spark, folder))
+    prepared = materialize(forecast.prepare_regressors(prices(spark, folder)))
     model = forecast.Decomposition(regressors=("sma", "volume_avg"))
     return model.predict(model.fit(prepared), prepared.select("series_id", "ds", "sma", "volume_avg")).select("series_id", text(), "yhat")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from goldpan.operators import series
 from goldpan.operators.ordering import number_rows
 from goldpan.queries.registry import query, table
+from goldpan.session import materialize
 
 # the same daily series in SQL: integer cents, so that sums over windows are exact
 DAILY_SQL = """
@@ -29,6 +30,11 @@ def daily(spark: SparkSession, folder: str) -> DataFrame:
                            {"cents": cents, "volume": F.count("*")})
 
 
+def stored_daily(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily series, written once for queries that use it on several branches: the raw tables are read once."""
+    return materialize(daily(spark, folder))
+
+
 def _rolling_sql(value: str, n: int) -> str:
     return f"""
     WITH {DAILY_SQL}
@@ -136,7 +142,7 @@ def time_axis(spark, folder):
     WITH {DAILY_SQL}, ends AS (SELECT series_id, max(ds) AS last FROM daily WHERE ds < DATE '2000-01-01' GROUP BY 1)
     SELECT series_id, strftime(ds, '%Y-%m-%d') AS ds, ds > last AS is_future FROM daily JOIN ends USING (series_id)""")
 def hist_future_split(spark, folder):
-    days = daily(spark, folder)
+    days = stored_daily(spark, folder)
     ends = series.series_end(days.filter(F.col("ds") < F.lit("2000-01-01").cast("date")))
     return series.split_at(days, ends).select("series_id", text(), "is_future")
 
@@ -146,7 +152,7 @@ def hist_future_split(spark, folder):
     SELECT series_id, strftime(ds, '%Y-%m-%d') AS ds, cents FROM daily JOIN ends USING (series_id)
     WHERE ds BETWEEN last - 365 AND last + 365""")
 def year_window(spark, folder):
-    days = daily(spark, folder)
+    days = stored_daily(spark, folder)
     ends = series.series_end(days.filter(F.col("ds") < F.lit("2000-01-01").cast("date")))
     return series.around_last(days, ends).select("series_id", text(), "cents")
 
@@ -159,13 +165,13 @@ _FUTURE_SQL = f"""
 
 @query("q_future_frame", f"{_FUTURE_SQL} SELECT series_id, strftime(ds, '%Y-%m-%d') AS ds FROM frame")
 def future_frame(spark, folder):
-    return series.future_frame(daily(spark, folder), 365).select("series_id", text())
+    return series.future_frame(stored_daily(spark, folder), 365).select("series_id", text())
 
 
 @query("q_left_join_future", f"""{_FUTURE_SQL}
     SELECT series_id, strftime(ds, '%Y-%m-%d') AS ds, cents, volume FROM frame LEFT JOIN daily USING (series_id, ds)""")
 def left_join_future(spark, folder):
-    days = daily(spark, folder)
+    days = stored_daily(spark, folder)
     joined = series.attach_regressors(series.future_frame(days, 365), days, ["cents", "volume"])
     return joined.select("series_id", text(), "cents", "volume")
 
