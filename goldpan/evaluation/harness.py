@@ -61,9 +61,10 @@ def fit_all(
     wide = prep.fit_standard(df, columns) if fit_on == "all" else None
     for run in range(runs):
         strata = ["y"] if problem == "classification" else []
-        marked = split.exact_holdout(df, keys, fraction, run, strata)
+        # stored for all models of the run; one shuffle evens out the partitions that every fit iterates over
+        marked = split.exact_holdout(df, keys, fraction, run, strata).repartition(*keys).persist()
         scale = wide or prep.fit_standard(marked.filter(~F.col("is_test")), columns)
-        rows = prep.assemble(scale.transform(marked), columns).persist()  # reused by every model of the run
+        rows = prep.assemble(scale.transform(marked), columns)
         train = rows.filter(~F.col("is_test"))
         for name, fit in built.items():
             try:
@@ -75,7 +76,7 @@ def fit_all(
                 status.append((problem, name, run, "ok", None))
             except Exception as error:  # one failing model must not end the evaluation
                 status.append((problem, name, run, "failed", _failure(error)))
-        rows.unpersist()
+        marked.unpersist()
     return df.sparkSession.createDataFrame(status, STATUS)
 
 

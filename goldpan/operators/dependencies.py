@@ -26,22 +26,20 @@ def dependency_levels(tables: DataFrame, edges: DataFrame, scope: Sequence[str]
     scope = list(scope)
     names = tables.select(*scope, "table")
     waiting = materialize(edges.select(*scope, "table", "dep").distinct())
-    open_tables = names
+    ready = materialize(names.join(waiting.select(*scope, "table").distinct(), [*scope, "table"], "left_anti"))
     settled = None
     level = 0
-    while True:
-        blocked = waiting.select(*scope, "table").distinct()
-        ready = open_tables.join(blocked, [*scope, "table"], "left_anti").withColumn("level", F.lit(level))
-        ready = materialize(ready)
-        if ready.isEmpty():
-            break
-        settled = ready if settled is None else settled.unionByName(ready)
-        done = ready.drop("level")
-        waiting = materialize(waiting.join(done.withColumnRenamed("table", "dep"), [*scope, "dep"], "left_anti"))
-        open_tables = materialize(open_tables.join(done, [*scope, "table"], "left_anti"))
+    while not ready.isEmpty():
+        leveled = ready.withColumn("level", F.lit(level))
+        settled = leveled if settled is None else settled.unionByName(leveled)
+        done = ready.withColumnRenamed("table", "dep")
+        released = waiting.join(done, [*scope, "dep"], "left_semi").select(*scope, "table").distinct()
+        waiting = materialize(waiting.join(done, [*scope, "dep"], "left_anti"))
+        ready = materialize(released.join(waiting, [*scope, "table"], "left_anti"))
         level += 1
-    stuck = open_tables.withColumn("level", F.lit(None).cast("int"))
-    return stuck if settled is None else settled.unionByName(stuck)
+    if settled is None:
+        return names.withColumn("level", F.lit(None).cast("int"))
+    return names.join(settled, [*scope, "table"], "left")
 
 
 def check_dependencies(tables: DataFrame, edges: DataFrame) -> DataFrame:

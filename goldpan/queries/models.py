@@ -36,25 +36,26 @@ def labeled_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def _judge_classifier(spark, folder, fit: Fit) -> DataFrame:
     """Metrics of one classifier on the document labels."""
-    marked = split.exact_holdout(labeled_documents(spark, folder), ["row_id"], 0.2, 42, ["y"])
+    documents = materialize(labeled_documents(spark, folder))  # the texts are read once
+    marked = split.exact_holdout(documents, ["row_id"], 0.2, 42, ["y"]).repartition("row_id").persist()
     scale = features.fit_standard(marked.filter(~F.col("is_test")), TEXT_FEATURES)
-    rows = features.assemble(scale.transform(marked), TEXT_FEATURES).select("row_id", "features", "y", "is_test").persist()
+    rows = features.assemble(scale.transform(marked), TEXT_FEATURES).select("row_id", "features", "y", "is_test")
     predicted = fit(rows.filter(~F.col("is_test")))(rows.filter("is_test"))
     kept = materialize(predicted.select(F.lit("all").alias("part"), "y", "yhat", "score"))
-    rows.unpersist()
+    marked.unpersist()
     sizes = kept.groupBy("part").agg(F.count("*").alias("test_rows"))
     return metrics.classification_metrics(kept, ["part"]).join(sizes, "part").drop("part")
 
 
 def _judge_regressor(spark, folder, fit: Fit) -> DataFrame:
     """Metrics of one regressor on the charge of the lines."""
-    marked = split.holdout(priced_lines(spark, folder), LINE_KEY, 0.2, 42)
+    marked = split.folds(split.holdout(priced_lines(spark, folder), LINE_KEY, 0.2, 42), LINE_KEY, FOLDS)
+    marked = marked.repartition(*LINE_KEY).persist()  # even partitions for every iteration of the fit
     scale = features.fit_standard(marked.filter(~F.col("is_test")), PRICE_FEATURES)
-    rows = features.assemble(scale.transform(marked), PRICE_FEATURES)
-    rows = split.folds(rows, LINE_KEY, FOLDS).select("features", "y", "is_test", "fold").persist()
+    rows = features.assemble(scale.transform(marked), PRICE_FEATURES).select("features", "y", "is_test", "fold")
     predicted = fit(rows.filter(~F.col("is_test")))(rows.filter("is_test"))
     judged = materialize(metrics.regression_metrics(predicted.select(F.lit("all").alias("part"), "y", "yhat"), ["part"]).drop("part"))
-    rows.unpersist()
+    marked.unpersist()
     return judged
 
 
