@@ -193,8 +193,10 @@ class Decomposition:
 
 
 def _seconds(ds: str) -> Column:
-    """Seconds since 1970 of a date or timestamp without time zone, as a double."""
-    return F.expr(f"unix_micros(cast(cast({ds} as timestamp_ntz) as timestamp)) / 1000000.0D")
+    """Seconds since 1970 of a date or timestamp without time zone, as a double; the session zone plays no part."""
+    moment = F.col(ds).cast("timestamp_ntz")
+    days = F.datediff(F.to_date(moment), F.lit("1970-01-01").cast("date"))
+    return days * F.lit(86400.0) + F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
 
 
 # ---------------------------------------------------------------- flow

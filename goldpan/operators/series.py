@@ -21,7 +21,12 @@ from goldpan.operators.ordering import number_rows
 
 def to_grain(df: DataFrame, series: Column, ts: Column, grain: str, values: Mapping[str, Column]) -> DataFrame:
     """Aggregate raw rows to (series_id, ds) at ``day`` or ``hour`` grain."""
-    ds = F.to_date(ts) if grain == "day" else F.date_trunc(grain, ts).cast("timestamp_ntz")
+    if grain not in ("day", "hour"):
+        raise ValueError(f"grain must be day or hour, not {grain!r}")
+    if grain == "day":
+        ds = F.to_date(ts)
+    else:  # stays without time zone, unlike date_trunc
+        ds = ts - F.make_dt_interval(F.lit(0), F.lit(0), F.minute(ts), F.extract(F.lit("SECOND"), ts))
     return df.groupBy(series.alias("series_id"), ds.alias("ds")).agg(*[v.alias(n) for n, v in values.items()])
 
 
@@ -122,8 +127,8 @@ def around_last(df: DataFrame, ends: DataFrame, days: int = 365, series: str = "
 
 def horizon(ends: DataFrame, periods: int, step: str = "interval 1 day", series: str = "series_id", ds: str = "ds") -> DataFrame:
     """``periods`` future moments after the end of every series."""
-    one = F.expr(step)
-    moments = F.sequence(F.col("_last") + one, F.col("_last") + one * periods, one)
+    one, last = F.expr(step), F.col("_last").cast("timestamp_ntz")
+    moments = F.sequence(last + one, last + one * periods, one)
     return ends.select(series, F.explode(moments).alias(ds))
 
 

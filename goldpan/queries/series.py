@@ -21,6 +21,11 @@ def text(ds: str = "ds"):
     return F.date_format(ds, "yyyy-MM-dd").alias("ds")
 
 
+def hour_text(ds: str = "ds"):
+    """Date and hour, without a detour through the session zone."""
+    return F.substring(F.col(ds).cast("string"), 1, 13)
+
+
 def daily(spark: SparkSession, folder: str) -> DataFrame:
     """(series_id, ds, cents, volume): order totals per market segment and day."""
     orders = table(spark, folder, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
@@ -135,7 +140,7 @@ def time_split_raw(spark, folder):
 def time_axis(spark, folder):
     events = table(spark, folder, "events").select("event_id", (F.col("event_id") + 1).cast("int").alias("at"))
     moments = series.time_axis(events, "2022-01-01 00:00:00", "interval 1 hour", "at")
-    return moments.select("event_id", F.date_format("ds", "yyyy-MM-dd HH:mm:ss").alias("ds"))
+    return moments.select("event_id", F.col("ds").cast("string").alias("ds"))
 
 
 @query("q_hist_future_split", f"""
@@ -194,7 +199,7 @@ def hourly(spark: SparkSession, folder: str) -> DataFrame:
 def ts_lags(spark, folder):
     hours = hourly(spark, folder)
     differences = series.lags(hours, "cents", 1).select("series_id", "ds", (F.col("cents") - F.col("lag1")).alias("diff"))
-    return series.lags(differences, "diff", 5).withColumn("ds", F.date_format("ds", "yyyy-MM-dd HH"))
+    return series.lags(differences, "diff", 5).withColumn("ds", hour_text())
 
 
 @query("q_ts_seasonal_diff", f"""
@@ -202,4 +207,4 @@ def ts_lags(spark, folder):
     SELECT series_id, strftime(ds, '%Y-%m-%d %H') AS ds, v - lag(v) OVER (PARTITION BY series_id ORDER BY ds) AS w FROM s""")
 def ts_seasonal_diff(spark, folder):
     differenced = series.seasonal_difference(hourly(spark, folder), "cents", 12, "w")
-    return differenced.select("series_id", F.date_format("ds", "yyyy-MM-dd HH").alias("ds"), "w")
+    return differenced.select("series_id", hour_text().alias("ds"), "w")
