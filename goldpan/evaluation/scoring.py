@@ -29,6 +29,7 @@ METRIC_COLUMNS = {
     "R²": ("test_r2", False),
 }
 
+# fixed values: thresholds and penalties
 OVERFIT_ABOVE = 0.98  # every normalized metric above this: flagged
 OVERFIT_FACTOR = 0.5  # what a flagged classifier keeps of its score
 PENALTY = 0.15  # what an overfitted regressor loses

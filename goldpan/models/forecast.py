@@ -202,6 +202,7 @@ def _seconds(ds: str) -> Column:
 # ---------------------------------------------------------------- flow
 
 
+# fixed values: window lengths and horizon of the price forecast
 SMA_DAYS, VOLUME_DAYS, SMOOTH_DAYS, HORIZON_DAYS = 400, 100, 10, 365
 
 

@@ -11,6 +11,7 @@ from goldpan.models.base import Fit
 
 Factory = Callable[..., Fit]
 
+# fixed values: the model names of evaluation configurations
 CLASSIFIERS: dict[str, Factory] = {
     "Logistic Regression": classifiers.logistic,
     "Ridge Classifier": classifiers.ridge,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# fixed values: distinct label counts that decide the task type
 REGRESSION_ABOVE = 10  # more distinct labels than this: a continuous target
 MULTICLASS_ABOVE = 2
 
