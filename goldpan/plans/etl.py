@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from graphlib import CycleError, TopologicalSorter
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldpan.operators.columns import add_columns
-from goldpan.operators.dependencies import check_dependencies
 from goldpan.session import apply_settings
 from goldpan.sources.lake import write_lake
 from goldpan.sources.readers import read_table
@@ -30,16 +30,27 @@ def process_table(spark: SparkSession, table: Mapping, connection: Mapping, cred
     return write_lake(df, table["destination"], steps.get("sorting") or [], steps.get("repartition"))
 
 
-def plan_levels(spark: SparkSession, config: Mapping) -> list[list[str]]:
-    """Table names per dependency level.  Missing and cyclic dependencies raise before anything is written."""
-    names = list(config["tables"])
-    nodes = spark.createDataFrame([("p", n) for n in names], "pipeline string, table string")
-    pairs = [("p", n, d) for n in names for d in config["tables"][n].get("dependencies") or []]
-    links = spark.createDataFrame(pairs, "pipeline string, table string, dep string")
-    levels: dict[int, list[str]] = {}
-    for row in check_dependencies(nodes, links).orderBy("level", "table").collect():  # as many rows as tables
-        levels.setdefault(row["level"], []).append(row["table"])
-    return [levels[i] for i in sorted(levels)]
+def plan_levels(config: Mapping) -> list[list[str]]:
+    """Table names per dependency level of one document; missing and cyclic dependencies raise.
+
+    One document is a handful of names that are already here, so no Spark job is spent on it.  Catalogs of many
+    documents are leveled as tables by ``operators.dependencies``.
+    """
+    waits = {name: set(table.get("dependencies") or []) for name, table in config["tables"].items()}
+    missing = sorted(f"{name} -> {dep}" for name, deps in waits.items() for dep in deps if dep not in waits)
+    if missing:
+        raise ValueError(f"missing dependencies: {', '.join(missing)}")
+    order = TopologicalSorter(waits)
+    try:
+        order.prepare()
+    except CycleError as error:
+        raise ValueError(f"cyclic dependencies among: {', '.join(sorted(set(error.args[1])))}") from error
+    levels = []
+    while order.is_active():
+        ready = order.get_ready()
+        levels.append(sorted(ready))
+        order.done(*ready)
+    return levels
 
 
 def run_pipeline(spark: SparkSession, config: Mapping, credentials: Mapping[str, Mapping[str, str]] | None = None) -> DataFrame:
@@ -66,7 +77,7 @@ def run_pipeline(spark: SparkSession, config: Mapping, credentials: Mapping[str,
             return name, level, None, path, "failed", f"{type(error).__name__}: {str(error).splitlines()[0]}"
 
     with ThreadPoolExecutor(PARALLEL_TABLES) as pool:
-        for level, names in enumerate(plan_levels(spark, config)):
+        for level, names in enumerate(plan_levels(config)):
             work = inheritable_thread_target(spark)(lambda name, level=level: run(name, level))
             for row in pool.map(work, names):
                 report[row[0]] = row

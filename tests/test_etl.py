@@ -47,6 +47,17 @@ def test_failed_table_skips_what_depends_on_it(spark, source, tmp_path):
     assert report == {"a": "skipped", "gone": "failed", "c": "ok"}
 
 
+def test_levels_of_one_document_agree_with_the_catalog_form():
+    def document(**deps):
+        return {"tables": {name: {"dependencies": list(d)} for name, d in deps.items()}}
+
+    assert etl.plan_levels(document(a="bc", b="c", c="", d="")) == [["c", "d"], ["b"], ["a"]]
+    with pytest.raises(ValueError, match="cyclic.*a, b"):
+        etl.plan_levels(document(a="b", b="a", c="a"))
+    with pytest.raises(ValueError, match="missing.*a -> z"):
+        etl.plan_levels(document(a="z"))
+
+
 def test_written_files_are_sorted_and_a_hot_partition_is_spread(spark, tmp_path):
     path = str(tmp_path / "lake")
     hot = spark.range(0, 5000, 1, 4).select((F.col("id") % 7).alias("k"), F.when(F.col("id") % 100 == 0, "cold").otherwise("hot").alias("part"))
