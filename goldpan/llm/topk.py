@@ -99,9 +99,9 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int
             yield batch
 
     # a row's range and a query's block come from its digest, so both are of even size; rows with one id spread by their content
-    ranged = every.withColumn("range", F.pmod(F.xxhash64("id", "v"), F.lit(n_ranges)))
+    ranged = every.withColumn("range", F.pmod(F.xxhash64("id", "v"), F.lit(n_ranges)).cast("int"))
     blocked = asked.mapInPandas(with_floor, "id long, v array<long>, dim int, floor long").withColumn(
-        "block", F.pmod(F.xxhash64("id", "v"), F.lit(n_query_blocks)))
+        "block", F.pmod(F.xxhash64("id", "v"), F.lit(n_query_blocks)).cast("int"))
     left = ranged.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_query_blocks - 1)))).groupBy("dim", "range", "block")
     right = blocked.withColumn("range", F.explode(F.sequence(F.lit(0), F.lit(n_ranges - 1)))).groupBy("dim", "range", "block")
 
