@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldpan.session import materialize
+from goldpan.llm.shared import checkpointed
 
 
 def _directed(links: DataFrame) -> DataFrame:
@@ -19,7 +19,7 @@ def components(links: DataFrame) -> DataFrame:
     reduce by minima, which are combined before the shuffle, and hand them back by a join on the node, so a hub is no large group for any
     task.  The loop ends when the links are stars; each round is written to the checkpoint folder.
     """
-    edges = materialize(_directed(links))
+    edges = checkpointed(_directed(links))
     seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -27,7 +27,7 @@ def components(links: DataFrame) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
-        edges = materialize(_directed(small.select("e.a", "e.b")))
+        edges = checkpointed(_directed(small.select("e.a", "e.b")))
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if state == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

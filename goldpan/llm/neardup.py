@@ -14,13 +14,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldpan.llm.components import components
-from goldpan.llm.shared import stored
+from goldpan.llm.shared import checkpointed, stored
 from goldpan.llm.words import mixed, plain_words, run_hashes, word_hashes
-from goldpan.session import materialize
+
+
+_SPREAD = np.uint64(0xE7037ED1A0B428DB)
 
 
 @dataclass(frozen=True)
@@ -32,6 +34,7 @@ class Settings:
     sketches: int = 32
     per_sketch: int = 6
     centres: int = 4
+    partners: int = 4  # centres that a member is compared with in one round
 
 
 def shingles(text: str | None, length: int) -> tuple[int | None, np.ndarray]:
@@ -57,9 +60,16 @@ def shingles(text: str | None, length: int) -> tuple[int | None, np.ndarray]:
 def sketches(runs: np.ndarray, count: int, size: int) -> list[int]:
     """One key per sketch: the ``size`` shingles with the smallest hashes under its own hash function, in text order."""
     keys = []
+    # about this share of all hashes is looked at; it nearly always holds the smallest ones
+    near = np.uint64(min(2**64 - 1, int(2**64 * 6.0 * size / max(1, len(runs)))))
     for k in range(count):
-        h = mixed(runs ^ np.uint64((k + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
-        least = np.sort(np.argpartition(h, size)[:size]) if len(h) > size else np.arange(len(h))
+        h = (runs ^ np.uint64((k + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) * np.uint64((k * 0xD6E8FEB86659FD92 + 0xA0761D6478BD642F) % (1 << 64) | 1)
+        h ^= h >> np.uint64(32)
+        h *= _SPREAD
+        at = np.flatnonzero(h < near)
+        if len(at) < size:
+            at = np.arange(len(h))
+        least = np.sort(at[np.argpartition(h[at], size)[:size]]) if len(at) > size else at
         keys.append(int(run_hashes(h[least], len(least))[0].view(np.int64)))
     return keys
 
@@ -138,19 +148,22 @@ def linked_classes(members: DataFrame, texts: DataFrame, s: Settings) -> DataFra
             F.min("root").alias("low"), F.max("root").alias("high"), *[F.min_by("content", r).alias(f"c{k}") for k, r in enumerate(ranks)],
             *[F.min_by("root", r).alias(f"r{k}") for k, r in enumerate(ranks)]).where("low != high")
         centres = F.explode(F.array(*[F.struct(F.col(f"c{k}").alias("centre"), F.col(f"r{k}").alias("its_root")) for k in range(s.centres)]))
-        pairs = (
-            placed.join(chosen, ["sketch", "key"]).select("content", "root", centres.alias("e")).where("root != e.its_root")
-            .select(F.least("content", "e.centre").alias("a"), F.greatest("content", "e.centre").alias("b")).distinct()
-        )
+        # a member meets the centres it shares most buckets with; the others are left to the next rounds
+        shared = placed.join(chosen, ["sketch", "key"]).select("content", "root", centres.alias("e")).where("root != e.its_root").groupBy(
+            "content", F.col("e.centre").alias("centre")).agg(F.count(F.lit(1)).alias("buckets"))
         if asked is not None:
-            pairs = pairs.join(asked, ["a", "b"], "left_anti")
-        pairs = materialize(pairs)
+            shared = shared.join(asked.unionByName(asked.select(F.col("b").alias("a"), F.col("a").alias("b"))).select(
+                F.col("a").alias("content"), F.col("b").alias("centre")), ["content", "centre"], "left_anti")
+        rank = F.row_number().over(Window.partitionBy("content").orderBy(F.col("buckets").desc(), "centre"))
+        pairs = shared.withColumn("rank", rank).where(F.col("rank") <= s.partners).select(
+            F.least("content", "centre").alias("a"), F.greatest("content", "centre").alias("b")).distinct()
+        pairs = checkpointed(pairs)
         asked = pairs if asked is None else asked.unionByName(pairs)
         with_texts = (
             pairs.join(texts.select(F.col("content").alias("a"), F.col("runs").alias("runs_a")), "a")
             .join(texts.select(F.col("content").alias("b"), F.col("runs").alias("runs_b")), "b")
         )
-        found = materialize(with_texts.mapInPandas(_verified(s), "a long, b long"))
+        found = checkpointed(with_texts.mapInPandas(_verified(s), "a long, b long"))
         if roots is None:
             roots = components(found)
         elif found.isEmpty():
