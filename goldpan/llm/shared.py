@@ -2,9 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from goldpan.session import scratch_path
+from pyspark.sql import DataFrame, SparkSession
+
+from goldpan.session import materialize, scratch_path
+
+RELEASE_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def releasing(spark: SparkSession) -> Iterator[None]:
+    """Actions inside remove their shuffle files when they end; what they return or write does not need them any more."""
+    before = spark.conf.get(RELEASE_KEY, None)
+    spark.conf.set(RELEASE_KEY, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(RELEASE_KEY)
+        else:
+            spark.conf.set(RELEASE_KEY, before)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    with releasing(df.sparkSession):
+        return materialize(df)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -13,5 +37,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage and is read as often as needed; a lost executor costs no recomputation.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with releasing(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from goldpan.llm.shared import releasing
 from goldpan.llm.words import blank_words, run_hashes, word_hashes
 
 # Fixed value: the smallest difference cover of 7; every remainder is a difference of two of its elements.
@@ -79,7 +80,9 @@ def shared_filter(rows: DataFrame, anchors: Anchors) -> np.ndarray:
         return pd.DataFrame({"segment": [pdf["segment"].iloc[0]], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
     shared = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in slots.distinct().groupBy("segment").applyInPandas(segment, "segment int, bits binary").collect():
+    with releasing(rows.sparkSession):
+        segments = slots.distinct().groupBy("segment").applyInPandas(segment, "segment int, bits binary").collect()
+    for row in segments:
         at = row["segment"] * SEGMENT_BITS // 8
         shared[at:at + SEGMENT_BITS // 8] = np.frombuffer(row["bits"], np.uint8)
     return shared
