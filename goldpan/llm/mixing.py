@@ -92,7 +92,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int =
     )
     plan = plan.join(cut, F.col("source").eqNullSafe(F.col("cs")), "left").drop("cs").withColumnRenamed("bucket", "cut_bucket")
 
-    joined = rows.join(plan, F.col("_source").eqNullSafe(F.col("source"))).withColumn("_mark", mark)
+    plan = plan.withColumnRenamed("source", "_plan_source")
+    joined = rows.join(plan, F.col("_source").eqNullSafe(F.col("_plan_source"))).withColumn("_mark", mark)
     own = F.substring("_mark", 1, BUCKET_DIGITS)
     at_cut = F.coalesce(own == F.col("cut_bucket"), F.lit(False))
     outside = joined.where(~at_cut).withColumn("extra", F.coalesce((own < F.col("cut_bucket")).cast("long"), F.lit(1)))
