@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from goldpan.functions.hashing import digest
 from goldpan.llm.shared import stored
 
+SALTS = 32
 BUCKET_DIGITS = 4  # leading hex digits of a row's digest; a source is cut at one of 16**4 buckets, then inside that bucket
 
 
@@ -92,8 +93,10 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int =
     )
     plan = plan.join(cut, F.col("source").eqNullSafe(F.col("cs")), "left").drop("cs").withColumnRenamed("bucket", "cut_bucket")
 
-    plan = plan.withColumnRenamed("source", "_plan_source")
-    joined = rows.join(plan, F.col("_source").eqNullSafe(F.col("_plan_source"))).withColumn("_mark", mark)
+    # the plan has one row per source; its copies let a source with very many rows be joined in several tasks
+    plan = plan.withColumnRenamed("source", "_plan_source").withColumn("_plan_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("_mark", mark).withColumn("_salt", F.pmod(F.xxhash64(id_column, "size"), F.lit(SALTS)).cast("int"))
+    joined = salted.join(plan, F.col("_source").eqNullSafe(F.col("_plan_source")) & (F.col("_salt") == F.col("_plan_salt")))
     own = F.substring("_mark", 1, BUCKET_DIGITS)
     at_cut = F.coalesce(own == F.col("cut_bucket"), F.lit(False))
     outside = joined.where(~at_cut).withColumn("extra", F.coalesce((own < F.col("cut_bucket")).cast("long"), F.lit(1)))
