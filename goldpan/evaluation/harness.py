@@ -189,6 +189,8 @@ def evaluate(df: DataFrame, problem: str, config: Mapping, columns: Sequence[str
         if "series_id" not in renamed.columns:
             renamed = renamed.withColumn("series_id", F.lit("all"))
         return evaluate_time_series(renamed, list(section["models"]), weights=weights, **options)
+    if not keys:
+        raise ValueError("the holdout needs the key columns of a row")
     run = evaluate_classification if problem == "classification" else evaluate_regression
     return run(df.withColumnRenamed(target, "y"), columns, section["models"], keys, weights=weights, **options)
 

@@ -58,15 +58,17 @@ def roc_auc(df: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Area under the ROC curve with half credit for ties, of the rows that have a score.
 
     Equal scores are counted first; the number of negatives below each score is a running total over ranges of
-    scores, so no group is sorted in one task.  A group without one of the two classes gets null.
+    scores, so no group is sorted in one task.  A group without one of the two classes, or with further ones, gets null.
     """
     scored = df.filter(F.col("score").isNotNull())
     positive = F.col("y") == 1
     distinct = scored.groupBy(*groups, "score").agg(
-        F.count(F.when(positive, 1)).alias("pos"), F.count(F.when(~positive, 1)).alias("neg"))
+        F.count(F.when(positive, 1)).alias("pos"), F.count(F.when(~positive, 1)).alias("neg"),
+        F.count(F.when(~F.col("y").isin(0, 1), 1)).alias("further"))
     below = running_totals(distinct, groups, ["score"], {"neg_upto": F.col("neg")})
     credit = F.col("pos") * (F.col("neg_upto") - F.col("neg") / 2)
-    return below.groupBy(*groups).agg((F.sum(credit) / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0))).alias("test_roc_auc"))
+    area = F.sum(credit) / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0))
+    return below.groupBy(*groups).agg(F.when(F.sum("further") == 0, area).alias("test_roc_auc"))
 
 
 def classification_metrics(df: DataFrame, groups: Sequence[str]) -> DataFrame:

@@ -40,15 +40,29 @@ def logistic(max_iter: int = 500, c: float = 1.0) -> Fit:
 
 
 def ridge(alpha: float = 1.0) -> Fit:
-    """Least squares on a -1/+1 label; the sign decides, and there is no probability."""
+    """Least squares on a -1/+1 label for each class; the largest value decides (ties: the smaller class), without a probability."""
 
     def fit(train: DataFrame) -> Predict:
-        signed = train.withColumn("y", F.col("y") * 2 - 1)
-        model = LinearRegression(labelCol="y", regParam=alpha / train.count(), standardization=False, solver="normal").fit(signed)
+        rows = train.count()
+        classes = [r["y"] for r in train.select("y").distinct().orderBy("y").collect()]
+        # with two classes both fits are mirror images, so the second one decides by its sign
+        fitted = classes[1:] if len(classes) == 2 else classes
+        models = []
+        for c in fitted:
+            signed = train.withColumn("y", F.when(F.col("y") == c, 1.0).otherwise(-1.0))
+            solver = LinearRegression(labelCol="y", predictionCol=f"_ridge_{len(models)}", regParam=alpha / rows, standardization=False, solver="normal")
+            models.append(solver.fit(signed))
 
         def predict(df: DataFrame) -> DataFrame:
-            out = model.transform(df)
-            return out.withColumn("yhat", (F.col("prediction") > 0).cast("double")).withColumn("score", no_score()).drop("prediction")
+            for model in models:
+                df = model.transform(df)
+            values = [F.col(f"_ridge_{k}") for k in range(len(models))]
+            if len(classes) == 2:
+                yhat = F.when(values[0] > 0, F.lit(float(classes[1]))).otherwise(F.lit(float(classes[0])))
+            else:
+                pairs = F.array(*[F.struct(v.alias("v"), F.lit(-float(c)).alias("c")) for v, c in zip(values, classes, strict=True)])
+                yhat = -F.array_max(pairs)["c"]
+            return df.withColumn("yhat", yhat).withColumn("score", no_score()).drop(*[f"_ridge_{k}" for k in range(len(models))])
 
         return predict
 

@@ -92,10 +92,21 @@ def frequent_values(df: DataFrame, column: str, minimum_fraction: float) -> list
 
 
 def onehot_minimum_fraction(df: DataFrame, column: str, minimum_fraction: float, prefix: str = "is_") -> DataFrame:
-    """Indicator columns for frequent values; all rarer ones share ``<prefix>other``."""
+    """Indicator columns for frequent values; all rarer ones and nulls share ``<prefix>other``.
+
+    Column names do not differ by case: of values that do, and of one called ``other``, the later ones get a number.
+    """
     kept = frequent_values(df, column, minimum_fraction)
-    flags = {f"{prefix}{v.lower()}": (F.col(column) == v).cast("int") for v in kept}
-    return df.withColumns({**flags, f"{prefix}other": (~F.col(column).isin(kept)).cast("int")})
+    flags, taken = {}, {f"{prefix}other"}
+    for v in kept:
+        name, n = f"{prefix}{v.lower()}", 1
+        while name in taken:
+            n += 1
+            name = f"{prefix}{v.lower()}_{n}"
+        taken.add(name)
+        flags[name] = F.coalesce(F.col(column) == v, F.lit(False)).cast("int")
+    rare = ~F.coalesce(F.col(column).isin(kept), F.lit(False))
+    return df.withColumns({**flags, f"{prefix}other": rare.cast("int")})
 
 
 def onehot_stage(column: str, output: str) -> Pipeline:

@@ -34,18 +34,10 @@ def task_type(n_distinct: int) -> str:
 
 
 def detect_task(df: DataFrame, label: str) -> DataFrame:
-    """Task type of a label column, with the distinct count cut at one above the regression threshold.
-
-    Only that threshold matters, so a continuous label is recognized from a fixed-size sketch; the exact distinct
-    count runs only where the sketch says that there are few values and is then a tiny shuffle.
-    """
-    estimate = df.agg(F.approx_count_distinct(label, 0.05)).first()[0]
-    if estimate > 20 * REGRESSION_ABOVE:
-        return df.sparkSession.range(1).select(
-            F.lit(REGRESSION_ABOVE + 1).cast("long").alias("n_labels"), F.lit("regression").alias("task"))
-    counted = df.agg(F.countDistinct(label).alias("n"))
+    """Task type of a label column with its number of distinct non-null values, counted after a distributed distinct."""
+    counted = df.where(F.col(label).isNotNull()).select(label).distinct().agg(F.count(F.lit(1)).alias("n"))
     return counted.select(
-        F.least(F.col("n"), F.lit(REGRESSION_ABOVE + 1)).alias("n_labels"),
+        F.col("n").alias("n_labels"),
         F.when(F.col("n") > REGRESSION_ABOVE, "regression")
         .when(F.col("n") > MULTICLASS_ABOVE, "multiclass")
         .otherwise("classification")

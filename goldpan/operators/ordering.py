@@ -54,14 +54,14 @@ def _totals_in_ranges(ranged: DataFrame, groups: list[str], order: list[str], to
         .filter(F.col("_earlier") > 0)
         .drop("_earlier")
     )
-    joined = _join_null_safe(rows, F.broadcast(carry), [RANGE, *groups])
+    joined = join_null_safe(rows, F.broadcast(carry), [RANGE, *groups])
     helpers = [RANGE] + [f"{p}{n}" for n in totals for p in ("_local_", "_carry_")]
     return joined.withColumns(
         {n: F.col(f"_local_{n}") + F.coalesce(F.col(f"_carry_{n}"), F.lit(0)) for n in totals}
     ).drop(*helpers)
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     right = right.withColumnsRenamed({k: f"_r{k}" for k in keys})
     condition = None
     for k in keys:
@@ -87,7 +87,7 @@ def number_rows(
     if size is None:
         return numbered
     sizes = ranged.groupBy(*groups).agg(F.count("*").alias(size))
-    return _join_null_safe(numbered, sizes, groups)
+    return join_null_safe(numbered, sizes, groups)
 
 
 def positional_values(

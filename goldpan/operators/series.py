@@ -70,7 +70,9 @@ def rolling_mean_long(
 
 def backfill(value: str, series: str = "series_id", ds: str = "ds") -> Column:
     """Next known value at or after the row."""
-    return F.first(value, ignorenulls=True).over(_order(ds, series).rowsBetween(0, Window.unboundedFollowing))
+    # read backwards, so the frame grows row by row; a frame that shrinks would be evaluated anew for every row
+    backwards = Window.partitionBy(series).orderBy(F.desc(ds)).rowsBetween(Window.unboundedPreceding, 0)
+    return F.last(value, ignorenulls=True).over(backwards)
 
 
 def forwardfill(value: str, series: str = "series_id", ds: str = "ds") -> Column:

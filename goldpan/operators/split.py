@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldpan.functions.hashing import digest, digest_below, fold_of
+from goldpan.operators.ordering import join_null_safe
 
-MAX_BROADCAST_STRATA = 1000
 BUCKET_DIGITS = 5  # 16**5 digest buckets: about n / 1e6 rows in each
 
 
@@ -44,19 +44,17 @@ def exact_holdout(
     )
     rank = F.row_number().over(Window.partitionBy(*groups, "_bucket").orderBy("_digest"))
     cuts = (
-        bucketed.join(edge, [*groups, "_bucket"])
+        join_null_safe(bucketed, edge, [*groups, "_bucket"])
         .withColumn("_rank", rank)
         .filter(F.col("_rank") == F.col("_need"))
         .select(*groups, F.col("_digest").alias("_cut"))
     )
-    found = cuts.limit(MAX_BROADCAST_STRATA + 1).collect()
     if not strata:
+        found = cuts.collect()  # one row
         is_test = F.col("_digest") <= F.lit(found[0]["_cut"]) if found else F.lit(False)
         return hashed.withColumn("is_test", is_test).drop("_digest", "_all")
-    if len(found) <= MAX_BROADCAST_STRATA:  # one cut per stratum, the size is known
-        cuts = F.broadcast(df.sparkSession.createDataFrame(found, cuts.schema))
-    # with more strata than that the planner decides, and splits a stratum that holds most rows
-    marked = hashed.join(cuts, groups, "left")
+    # one row per stratum; the planner broadcasts a small table by itself and splits a stratum that holds most rows
+    marked = join_null_safe(hashed, cuts, groups)
     return marked.withColumn("is_test", F.coalesce(F.col("_digest") <= F.col("_cut"), F.lit(False))).drop("_digest", "_cut")
 
 

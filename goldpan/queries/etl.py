@@ -29,7 +29,7 @@ def part_documents(spark: SparkSession, folder: str) -> DataFrame:
             F.array(*[F.lit(f"table_{d}") for d in deps]).cast("array<string>").alias("dependencies"),
             F.struct((F.col("p_size") + number).alias("numPartitions"), F.lit("id").alias("partitionColumn"),
                      F.lit(1).alias("lowerBound"), (F.col("p_partkey") + 1000).alias("upperBound"),
-                     F.lit(5000).alias("fetchsize")).alias("query_parameters"),
+                     (F.col("p_size") * 100).alias("fetchsize")).alias("query_parameters"),
             F.struct(F.array(F.struct(F.lit("year").alias("name"), F.lit("year(date)").alias("expression")),
                              F.struct(F.lit("month").alias("name"), F.lit("month(date)").alias("expression"))).alias("add_columns"),
                      F.array(F.lit("date")).alias("sorting"), F.lit(4 * number).alias("repartition")).alias("transformations"),
@@ -43,8 +43,8 @@ def part_documents(spark: SparkSession, folder: str) -> DataFrame:
     body = F.struct(
         F.array(F.concat(F.lit("spark.conf.set('spark.sql.files.maxPartitionBytes', '"), F.col("p_size"), F.lit("MB')")),
                 F.lit("spark.sql.shuffle.partitions = 64")).alias("spark_settings"),
-        F.create_map(connection, F.struct(F.lit("jdbc").alias("read_format"), (1433 + F.col("p_size")).alias("port"),
-                                          F.lit("[dbo]").alias("default_db"))).alias("source_connection"),
+        F.create_map(connection, F.struct(F.lit("jdbc").alias("read_format"), (7000 + F.col("p_size")).alias("port"),
+                                          F.lower("p_brand").alias("default_db"))).alias("source_connection"),
         tables.alias("tables"))
     return table(spark, folder, "part").select(F.to_json(F.create_map(F.concat(F.lit("pipeline_"), key), body)).alias("value"))
 
@@ -76,7 +76,7 @@ def settings(spark, folder):
 
 @query("q_connection_lookup", """
     SELECT 'pipeline_' || p_partkey AS pipeline, 'table_' || n AS "table", 'source_' || p_brand AS connection, 'jdbc' AS read_format,
-           CAST(1433 + p_size AS INTEGER) AS port
+           CAST(7000 + p_size AS INTEGER) AS port
     FROM part, (VALUES (1), (2), (3)) v(n)""")
 def connection_lookup(spark, folder):
     pipelines = part_pipelines(spark, folder)
@@ -209,7 +209,7 @@ def warehouse_document(folder: str, target: str) -> str:
     def entry(name: str, key: str, date: str, deps: list[str], sorting: list[str], partitions: int) -> dict:
         return {
             "source_connection": "warehouse", "schema": None, "table_name": f"{name}.parquet", "dependencies": deps,
-            "query_parameters": {"numPartitions": 8, "partitionColumn": key, "lowerBound": 1, "upperBound": 1000, "fetchsize": 10000},
+            "query_parameters": {"numPartitions": 6, "partitionColumn": key, "lowerBound": 0, "upperBound": 60000, "fetchsize": 2500},
             "transformations": {
                 "add_columns": [{"name": "year", "expression": f"year({date})"}, {"name": "month", "expression": f"month({date})"},
                                 {"name": "quarter_start", "expression": "3 * cast((month - 1) / 3 as int) + 1"}],
@@ -218,12 +218,12 @@ def warehouse_document(folder: str, target: str) -> str:
                             "mode": "overwrite", "path": f"{target}/{name}"}}
 
     body = {
-        "spark_settings": ["spark.conf.set('spark.sql.files.maxPartitionBytes', '256MB')"],
+        "spark_settings": ["spark.conf.set('spark.sql.files.maxPartitionBytes', '96MB')"],
         "source_connection": {"warehouse": {"source_type": "files", "read_format": "parquet", "connection_string": folder}},
         "tables": {
-            "orders": entry("orders", "o_orderkey", "o_orderdate", ["events", "lineitem"], ["o_custkey", "o_orderdate"], 16),
-            "events": entry("events", "event_id", "ts", ["lineitem"], ["user_id", "ts"], 8),
-            "lineitem": entry("lineitem", "l_orderkey", "l_shipdate", [], ["l_suppkey", "l_shipdate"], 20)}}
+            "orders": entry("orders", "o_orderkey", "o_orderdate", ["events", "lineitem"], ["o_custkey", "o_orderdate"], 12),
+            "events": entry("events", "event_id", "ts", ["lineitem"], ["user_id", "ts"], 6),
+            "lineitem": entry("lineitem", "l_orderkey", "l_shipdate", [], ["l_suppkey", "l_shipdate"], 18)}}
     return json.dumps({"warehouse": body})
 
 

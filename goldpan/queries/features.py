@@ -189,7 +189,7 @@ def rff(spark, folder):
 @query("q_nystroem")
 def nystroem(spark, folder):
     rows = _scaled_vectors(spark, folder)
-    return spread(features.NystroemMap.fit(rows, LINE_KEY, 16, gamma=0.5).transform(rows), "nystroem", 8, LINE_KEY)
+    return spread(features.NystroemMap.fit(rows, LINE_KEY, 16, gamma=0.5).transform(rows), "nystroem", 16, LINE_KEY)
 
 
 @query("q_feature_union", f"""

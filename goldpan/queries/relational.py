@@ -64,7 +64,7 @@ def group_nonnull_count(spark, folder):
 
 
 @query("q_detect_task", """
-    SELECT name, CAST(least(n, 11) AS BIGINT) AS n_labels,
+    SELECT name, CAST(n AS BIGINT) AS n_labels,
            CASE WHEN n > 10 THEN 'regression' WHEN n > 2 THEN 'multiclass' ELSE 'classification' END AS task
     FROM (SELECT 'l_extendedprice' AS name, count(DISTINCT l_extendedprice) AS n FROM lineitem
           UNION ALL SELECT 'label', count(DISTINCT label) FROM embeddings

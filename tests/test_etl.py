@@ -103,11 +103,11 @@ def test_settings_are_parsed_and_never_executed(spark):
 
 
 def test_jdbc_options():
-    connection = {"read_format": "jdbc", "port": 1433, "default_db": "[dbo]",
+    connection = {"read_format": "jdbc", "port": 7001, "default_db": "[sales]",
                   "connection_string": "jdbc:sqlserver://{sql_host}:{conf['port']};database={conf['default_db']}"}
-    table = {"schema": "dbo", "table_name": "t", "query_parameters": {"numPartitions": 8, "partitionColumn": "id", "lowerBound": 1, "upperBound": 100, "fetchsize": 10}}
+    table = {"schema": "sales", "table_name": "t", "query_parameters": {"numPartitions": 8, "partitionColumn": "id", "lowerBound": 1, "upperBound": 100, "fetchsize": 10}}
     options = readers.jdbc_options(connection, table, {"host": "h", "user": "u", "password": "s"})
-    assert options == {"url": "jdbc:sqlserver://h:1433;database=dbo", "dbtable": "dbo.t", "numPartitions": "8", "partitionColumn": "id",
+    assert options == {"url": "jdbc:sqlserver://h:7001;database=sales", "dbtable": "sales.t", "numPartitions": "8", "partitionColumn": "id",
                        "lowerBound": "1", "upperBound": "100", "fetchsize": "10", "user": "u", "password": "s"}
     with pytest.raises(ValueError, match="needs partitionColumn"):
         readers.jdbc_options(connection, {**table, "query_parameters": {"partitionColumn": "id"}}, {"host": "h"})

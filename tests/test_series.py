@@ -68,3 +68,10 @@ def test_grain_reduces_raw_rows(spark):
     hours = series.to_grain(raw, F.col("k"), F.col("t"), "hour", {"v": F.sum("v")}).orderBy("ds").collect()
     assert [r["v"] for r in hours] == [3, 4]
     assert series.to_grain(raw, F.col("k"), F.col("t"), "day", {"v": F.sum("v")}).first()["v"] == 7
+
+
+def test_backfill_of_a_long_series_is_linear(spark):
+    n = 400_000
+    df = spark.range(n).select(F.lit("s").alias("series_id"), F.col("id").alias("ds"), F.when(F.col("id") % 100_000 == 99_999, F.col("id")).alias("v"))
+    filled = df.withColumn("b", series.backfill("v")).agg(F.min(F.col("b") - F.col("ds")), F.max(F.col("b") - F.col("ds")), F.count("b")).first()
+    assert tuple(filled) == (0, 99_999, n)
