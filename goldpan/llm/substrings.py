@@ -111,17 +111,20 @@ def covered_windows(rows: DataFrame, anchors: Anchors) -> DataFrame:
             if found:
                 yield _flat(found)
 
-    every = rows.mapInPandas(windows, "window long, _id long, _print int, start int")
+    every = rows.mapInPandas(windows, "window long, _id long, place long")
     # the first owner is a minimum, which is combined before the shuffle: a window that very many documents have is no large group
-    first = every.groupBy("window").agg(F.min("_id").alias("first"), F.max("_id").alias("last")).where("first < last").select("window", "first")
-    return every.join(first, "window").where(F.col("_id") > F.col("first")).groupBy("_id", "_print").agg(F.collect_list("start").alias("starts"))
+    first = every.groupBy("window").agg(F.min("_id").alias("first"))
+    later = every.join(first, "window").where(F.col("_id") > F.col("first"))
+    print_, start = F.shiftright("place", 32).cast("int").alias("_print"), F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")
+    return later.groupBy("_id", print_).agg(F.collect_list(start).alias("starts"))
 
 
 def _flat(found: list[tuple[int, int, np.ndarray, np.ndarray]]) -> pd.DataFrame:
     sizes = [len(s) for _, _, s, _ in found]
     return pd.DataFrame({
         "window": np.concatenate([h for *_, h in found]).view(np.int64), "_id": np.repeat([f[0] for f in found], sizes),
-        "_print": np.repeat(np.array([f[1] for f in found], np.int32), sizes), "start": np.concatenate([s for _, _, s, _ in found]).astype(np.int32)})
+        # print and start in one number: every column of a shuffled row takes eight bytes
+        "place": np.repeat(np.array([f[1] for f in found], np.int64) << 32, sizes) | np.concatenate([s for _, _, s, _ in found])})
 
 
 def kept_words(text: str | None, starts: Sequence[int] | None, window: int) -> tuple[int, int, str]:
