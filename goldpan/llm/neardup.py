@@ -23,6 +23,7 @@ from goldpan.llm.words import mixed, plain_words, run_hashes, word_hashes
 
 
 _SPREAD = np.uint64(0xE7037ED1A0B428DB)
+_HASHES_AT_ONCE = 1 << 16  # all sketches of a short text in one array; those of a long one in several
 
 
 @dataclass(frozen=True)
@@ -59,18 +60,20 @@ def shingles(text: str | None, length: int) -> tuple[int | None, np.ndarray]:
 
 def sketches(runs: np.ndarray, count: int, size: int) -> list[int]:
     """One key per sketch: the ``size`` shingles with the smallest hashes under its own hash function, in text order."""
-    keys = []
-    # about this share of all hashes is looked at; it nearly always holds the smallest ones
-    near = np.uint64(min(2**64 - 1, int(2**64 * 6.0 * size / max(1, len(runs)))))
-    for k in range(count):
-        h = (runs ^ np.uint64((k + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) * np.uint64((k * 0xD6E8FEB86659FD92 + 0xA0761D6478BD642F) % (1 << 64) | 1)
+    k = np.arange(count, dtype=np.uint64)[:, None]
+    flips = (k + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    factors = (k * np.uint64(0xD6E8FEB86659FD92) + np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
+    at_once = max(1, _HASHES_AT_ONCE // max(1, len(runs)))
+    keys: list[int] = []
+    for low in range(0, count, at_once):
+        h = (runs ^ flips[low:low + at_once]) * factors[low:low + at_once]
         h ^= h >> np.uint64(32)
         h *= _SPREAD
-        at = np.flatnonzero(h < near)
-        if len(at) < size:
-            at = np.arange(len(h))
-        least = np.sort(at[np.argpartition(h[at], size)[:size]]) if len(at) > size else at
-        keys.append(int(run_hashes(h[least], len(least))[0].view(np.int64)))
+        if h.shape[1] > size:
+            least = np.sort(np.argpartition(h, size, axis=1)[:, :size], axis=1)
+            h = np.take_along_axis(h, least, axis=1)
+        width = h.shape[1]
+        keys += run_hashes(h.ravel(), width)[::width].view(np.int64).tolist()
     return keys
 
 
