@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldpan.llm.components import components
-from goldpan.llm.shared import checkpointed, stored
+from goldpan.llm.shared import stored
 from goldpan.llm.words import mixed, plain_words, run_hashes, word_hashes
 
 
@@ -160,13 +160,13 @@ def linked_classes(members: DataFrame, texts: DataFrame, s: Settings) -> DataFra
         rank = F.row_number().over(Window.partitionBy("content").orderBy(F.col("buckets").desc(), "centre"))
         pairs = shared.withColumn("rank", rank).where(F.col("rank") <= s.partners).select(
             F.least("content", "centre").alias("a"), F.greatest("content", "centre").alias("b")).distinct()
-        pairs = checkpointed(pairs)
+        pairs = stored(pairs, "pairs")
         asked = pairs if asked is None else asked.unionByName(pairs)
         with_texts = (
             pairs.join(texts.select(F.col("content").alias("a"), F.col("runs").alias("runs_a")), "a")
             .join(texts.select(F.col("content").alias("b"), F.col("runs").alias("runs_b")), "b")
         )
-        found = checkpointed(with_texts.mapInPandas(_verified(s), "a long, b long"))
+        found = stored(with_texts.mapInPandas(_verified(s), "a long, b long"), "found")
         if roots is None:
             roots = components(found)
         elif found.isEmpty():
