@@ -53,10 +53,52 @@ REGRESSORS: dict[str, Factory] = {
 TIME_SERIES = ("ARIMA", "SARIMA", "Prophet")
 MODELS: dict[str, Mapping[str, Factory]] = {"classification": CLASSIFIERS, "regression": REGRESSORS}
 
-# fixed values: parameter names of configured constructors -> ours; others (kernel, verbosity, ...) do not apply
-PARAMETERS = {
-    "max_iter": "max_iter", "hidden_layer_sizes": "hidden", "n_neighbors": "k", "alpha": "alpha", "l1_ratio": "l1_ratio",
-    "C": "c", "max_depth": "max_depth", "n_components": "components",
+# fixed values: parameter names of configured constructors -> ours
+_TREE = {"max_depth": "max_depth", "random_state": "seed"}
+_FOREST = {"n_estimators": "num_trees", **_TREE}
+_ROUNDS = {"n_estimators": "rounds", "learning_rate": "learning_rate", "random_state": "seed"}
+_BOOSTING = {"n_estimators": "maxIter", "max_depth": "maxDepth", "learning_rate": "stepSize", "subsample": "subsamplingRate", "random_state": "seed"}
+PARAMETERS: dict[str, dict[str, dict[str, str]]] = {
+    "classification": {
+        "Logistic Regression": {"max_iter": "max_iter", "C": "c"},
+        "Ridge Classifier": {"alpha": "alpha"},
+        "Decision Tree": _TREE,
+        "Random Forest": _FOREST,
+        "Gradient Boosting": {"n_estimators": "rounds", "max_depth": "max_depth", "learning_rate": "step", "random_state": "seed"},
+        "AdaBoost": _ROUNDS,
+        "Bagging Classifier": {"n_estimators": "num_trees", "random_state": "seed"},
+        "SVC (RBF Kernel)": {"C": "c", "max_iter": "max_iter", "n_components": "components", "random_state": "seed"},
+        "SVC (Linear Kernel)": {"C": "c", "max_iter": "max_iter"},
+        "K-Nearest Neighbors": {"n_neighbors": "k"},
+        "MLP Classifier (Neural Net)": {"hidden_layer_sizes": "hidden", "max_iter": "max_iter", "random_state": "seed"},
+        "Gaussian Naive Bayes": {"var_smoothing": "smoothing"},
+        "Bernoulli Naive Bayes": {"binarize": "threshold", "alpha": "alpha"},
+    },
+    "regression": {
+        "Ridge Regression": {"alpha": "alpha"},
+        "Lasso Regression": {"alpha": "alpha"},
+        "ElasticNet": {"alpha": "alpha", "l1_ratio": "l1_ratio"},
+        "Bayesian Ridge": {"max_iter": "max_iter", "tol": "tolerance"},
+        "Decision Tree": _TREE,
+        "Random Forest": _FOREST,
+        "Gradient Boosting": _BOOSTING,
+        "Hist Gradient Boosting": {"max_iter": "maxIter", "max_depth": "maxDepth", "learning_rate": "stepSize", "max_bins": "maxBins", "random_state": "seed"},
+        "AdaBoost": _ROUNDS,
+        "SVR (RBF Kernel)": {"n_components": "components", "random_state": "seed"},
+        "SVR (Linear Kernel)": {"max_iter": "max_iter"},
+        "K-Nearest Neighbors": {"n_neighbors": "k"},
+        "XGBoost": _BOOSTING,
+        "LightGBM": _BOOSTING,
+        "CatBoost": {"iterations": "maxIter", "depth": "maxDepth", "learning_rate": "stepSize", "subsample": "subsamplingRate", "random_seed": "seed"},
+    },
+}
+
+# They change no prediction, or are part of what the name stands for: all scores are probabilities, fits end at their own tolerance.
+NO_EFFECT = {"verbose", "verbosity", "silent", "n_jobs", "probability"}
+STANDS_FOR: dict[str, dict[str, Any]] = {
+    "SVC (RBF Kernel)": {"kernel": "rbf"}, "SVC (Linear Kernel)": {"kernel": "linear"},
+    "SVR (RBF Kernel)": {"kernel": "rbf"}, "SVR (Linear Kernel)": {"kernel": "linear"},
+    "MLP Classifier (Neural Net)": {"early_stopping": True},
 }
 
 
@@ -71,20 +113,21 @@ def literal_parameters(constructor: str) -> dict[str, Any]:
         raise ValueError(f"not a constructor with literal parameters: {constructor!r}") from error
 
 
+def translated(problem: str, name: str, literals: Mapping[str, Any]) -> dict[str, Any]:
+    """Parameters of a configured constructor as ours; one that would have no effect here is an error.  None leaves the default."""
+    known, implied = PARAMETERS[problem].get(name, {}), STANDS_FOR.get(name, {})
+    refused = [k for k, v in literals.items() if k not in known and k not in NO_EFFECT and not (k in implied and implied[k] == v)]
+    if refused:
+        raise ValueError(f"{name}: parameters without effect here: {refused}; known: {sorted(known)}")
+    return {known[k]: v for k, v in literals.items() if k in known and v is not None}
+
+
 def build(problem: str, name: str, given: str | Mapping[str, Any] | None = None) -> Fit:
     """The model ``name`` with parameters given as a mapping of ours or as a configured constructor text."""
     if problem not in MODELS:
         raise ValueError(f"unknown problem type {problem!r}; known: {sorted(MODELS)}")
     if name not in MODELS[problem]:
         raise ValueError(f"no {problem} model {name!r}; known: {sorted(MODELS[problem])}")
-    factory = MODELS[problem][name]
     if isinstance(given, str):
-        accepted = _accepted(factory)
-        literals = literal_parameters(given)
-        given = {PARAMETERS[k]: v for k, v in literals.items() if PARAMETERS.get(k) in accepted}
-    return factory(**(given or {}))
-
-
-def _accepted(factory: Factory) -> set[str]:
-    code = getattr(factory, "__code__", None)
-    return set(code.co_varnames[: code.co_argcount]) if code else set()
+        given = translated(problem, name, literal_parameters(given))
+    return MODELS[problem][name](**(given or {}))

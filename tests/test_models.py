@@ -79,6 +79,27 @@ def test_registry_parses_and_refuses():
     assert callable(registry.build("classification", "Logistic Regression", "LogisticRegression(max_iter=500)"))
 
 
+@pytest.mark.parametrize(("problem", "name", "text", "ours"), [
+    ("classification", "Random Forest", "RandomForestClassifier(n_estimators=500, max_depth=None)", {"num_trees": 500}),
+    ("classification", "AdaBoost", "AdaBoostClassifier(n_estimators=200, learning_rate=0.1)", {"rounds": 200, "learning_rate": 0.1}),
+    ("classification", "Gaussian Naive Bayes", "GaussianNB(var_smoothing=0.1)", {"smoothing": 0.1}),
+    ("classification", "SVC (RBF Kernel)", "SVC(kernel='rbf', probability=True)", {}),
+    ("regression", "Gradient Boosting", "GradientBoostingRegressor(n_estimators=300, max_depth=7, learning_rate=0.01)",
+     {"maxIter": 300, "maxDepth": 7, "stepSize": 0.01}),
+    ("regression", "XGBoost", "XGBRegressor(max_depth=9)", {"maxDepth": 9}),
+    ("regression", "CatBoost", "CatBoostRegressor(verbose=0)", {}),
+])
+def test_configured_parameters_take_effect(spark, problem, name, text, ours):
+    assert registry.translated(problem, name, registry.literal_parameters(text)) == ours
+    assert callable(registry.build(problem, name, text))
+
+
+def test_parameters_without_effect_are_refused():
+    for name, text in (("Logistic Regression", "LogisticRegression(penalty='l1')"), ("SVC (RBF Kernel)", "SVC(kernel='poly')")):
+        with pytest.raises(ValueError, match="without effect"):
+            registry.build("classification", name, text)
+
+
 def test_evaluation_reports_failures_and_ranks(classes):
     df = classes.drop("features", "is_test").withColumnRenamed("y", "Target")
 
