@@ -130,3 +130,27 @@ def test_top_k(spark):
             expected += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
     assert got == sorted(expected, key=repr)
     assert topk.exact_top_k(df.where("false"), df.where("false")).count() == 0
+
+
+def test_components_equal_union_find(spark):
+    """Chains, hubs, cycles, repeated and looping links against a plain union-find."""
+    import random
+
+    from goldpan.llm.components import components
+
+    rng = random.Random(5)
+    links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(rng.randint(200, 400), rng.randint(200, 400)) for _ in range(120)] + [(7, 7), (1, 0)]
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    found = components(spark.createDataFrame(links, "a long, b long"))
+    assert {r["node"]: r["root"] for r in found.collect()} == {x: root(x) for x in parent if root(x) != x}
+    assert found.count() == len({r["node"] for r in found.collect()})
+    assert components(spark.createDataFrame([], "a long, b long")).isEmpty()
