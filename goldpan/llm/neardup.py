@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldpan.llm.components import components
@@ -35,7 +35,10 @@ class Settings:
     sketches: int = 32
     per_sketch: int = 6
     centres: int = 4
-    partners: int = 4  # centres that a member is compared with in one round
+    partners: int = 4  # centres that a member is compared with in the first round
+    # the same in later rounds, where few buckets are left and only members of the class with the greater root ask
+    later_centres: int = 16
+    later_partners: int = 128
 
 
 def shingles(text: str | None, length: int) -> tuple[int | None, np.ndarray]:
@@ -132,48 +135,87 @@ def _verified(s: Settings):
     return kept
 
 
-def linked_classes(members: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """``node`` and ``root`` of the classes that verified links form among the contents that share sketches.
+def _partners(first: bool, most: int):
+    @F.pandas_udf("array<struct<centre:long,its_root:long>>")
+    def chosen(root: pd.Series, asked: pd.Series, centres: pd.Series, roots: pd.Series) -> pd.Series:
+        """Of the centres in other classes, not asked before, those that most buckets name; ties to the smaller."""
+        found = []
+        for own, before, c, r in zip(root, asked, centres, roots, strict=True):
+            c, r = np.asarray(c, np.int64), np.asarray(r, np.int64)
+            new = (r != own if first else r < own) & ~np.isin(c, np.asarray(before, np.int64))
+            names, at, counts = np.unique(c[new], return_index=True, return_counts=True)
+            best = np.lexsort((names, -counts))[:most]
+            found.append([{"centre": int(names[k]), "its_root": int(r[new][at[k]])} for k in best])
+        return pd.Series(found, dtype="object")
 
-    In every bucket each member is compared with a few centres.  Centres are the contents first by digests of their own, so a centre turns
-    up in all buckets of its neighbours.  Buckets whose members are in several classes by then go on with other centres, until a round
-    finds no link; all pairs of a bucket are never listed.
+    return chosen
+
+
+def met_centres(front: DataFrame, n: int, s: Settings) -> DataFrame:
+    """The rows of ``front`` that still share a bucket with another class, with these buckets as ``keys`` and the ``partners`` of round ``n``.
+
+    ``front`` has one row per content: content, root, asked and keys (array of sketch and key).  Centres are minima, combined before the
+    shuffle and handed back by a join, which splits hot buckets; a content gets at most one list of centres from each of its sketches.
+    After the first round each pair of classes is looked at from one side: the root is the smallest digest, so it is mostly the smaller
+    class that asks, and the smallest root of the bucket is one more centre.
     """
-    roots, asked, n = None, None, 0
+    count = s.later_centres if n else s.centres
+    nothing = F.array().cast("array<long>")
+    placed = front.select("content", "root", F.explode("keys").alias("k")).select("content", "root", "k.sketch", "k.key")
+    # the hash of one number is one-to-one, so there are no ties and both minima are of the same row
+    ranks = [F.xxhash64(F.lit(n * s.later_centres + c), "content") for c in range(count)]
+    centres = placed.groupBy("sketch", "key").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.array(*[F.min_by("content", r) for r in ranks]).alias("centres"),
+        F.array(*[F.min_by("root", r) for r in ranks]).alias("roots")).where("low != high")
+    if n > 0:
+        centres = centres.withColumns({"centres": F.array_append("centres", F.col("low")), "roots": F.array_append("roots", F.col("low"))})
+    asks = F.lit(True) if n == 0 else F.col("root") > F.col("low")
+    met = placed.join(centres, ["sketch", "key"]).groupBy("content").agg(F.collect_list(F.struct(
+        "sketch", "key", F.when(asks, F.col("centres")).otherwise(nothing).alias("centres"),
+        F.when(asks, F.col("roots")).otherwise(nothing).alias("roots"))).alias("met"))
+    partners = _partners(n == 0, s.later_partners if n else s.partners)
+    joined = met.join(front.select("content", "root", "asked"), "content").withColumn(
+        "partners", partners("root", "asked", F.flatten("met.centres"), F.flatten("met.roots")))
+    return joined.select(
+        "content", "root", "partners", F.concat("asked", "partners.centre").alias("asked"),
+        F.transform("met", lambda m: F.struct(m["sketch"], m["key"])).alias("keys"))
+
+
+def relabelled(rows: DataFrame, moves: DataFrame) -> DataFrame:
+    """``rows`` with every ``root`` that ``moves`` lists as a node replaced by its new root."""
+    to = moves.select(F.col("node").alias("root"), F.col("root").alias("new_root"))
+    return rows.join(to, "root", "left").withColumn("root", F.coalesce("new_root", "root")).drop("new_root")
+
+
+def linked_classes(contents: DataFrame, texts_of: Callable[[DataFrame], DataFrame], s: Settings) -> list[DataFrame]:
+    """Moves of roots (node, root), one table per round, to be applied in turn: the classes that verified links form.
+
+    ``contents`` has content and prints (one key per sketch); ``texts_of`` gives content and runs of the contents in a table.  In every
+    bucket each member is compared with a few centres.  Centres are the contents first by digests of their own, so a centre turns up in all
+    buckets of its neighbours.  Buckets whose members are in several classes by then go on with other centres, until a round finds no
+    link; all pairs of a bucket are never listed.  Links are kept between classes, so later rounds are as small as what they find.
+    """
+    front = contents.select(
+        "content", F.col("content").alias("root"), F.array().cast("array<long>").alias("asked"),
+        F.transform("prints", lambda p, k: F.struct(k.alias("sketch"), p.alias("key"))).alias("keys"))
+    moves: list[DataFrame] = []
+    texts = None
     while True:
-        # centres are minima, combined before the shuffle; handed back by a join, which splits hot buckets
-        if roots is None:
-            placed = members.withColumn("root", F.col("content"))
-        else:
-            placed = members.join(roots.withColumnRenamed("node", "content"), "content", "left").withColumn("root", F.coalesce("root", "content"))
-        ranks = [F.xxhash64(F.lit(n * s.centres + c), "content") for c in range(s.centres)]
-        chosen = placed.groupBy("sketch", "key").agg(
-            F.min("root").alias("low"), F.max("root").alias("high"), *[F.min_by("content", r).alias(f"c{k}") for k, r in enumerate(ranks)],
-            *[F.min_by("root", r).alias(f"r{k}") for k, r in enumerate(ranks)]).where("low != high")
-        centres = F.explode(F.array(*[F.struct(F.col(f"c{k}").alias("centre"), F.col(f"r{k}").alias("its_root")) for k in range(s.centres)]))
-        # a member meets the centres it shares most buckets with; the others are left to the next rounds
-        shared = placed.join(chosen, ["sketch", "key"]).select("content", "root", centres.alias("e")).where("root != e.its_root").groupBy(
-            "content", F.col("e.centre").alias("centre")).agg(F.count(F.lit(1)).alias("buckets"))
-        if asked is not None:
-            shared = shared.join(asked.unionByName(asked.select(F.col("b").alias("a"), F.col("a").alias("b"))).select(
-                F.col("a").alias("content"), F.col("b").alias("centre")), ["content", "centre"], "left_anti")
-        rank = F.row_number().over(Window.partitionBy("content").orderBy(F.col("buckets").desc(), "centre"))
-        pairs = shared.withColumn("rank", rank).where(F.col("rank") <= s.partners).select(
-            F.least("content", "centre").alias("a"), F.greatest("content", "centre").alias("b")).distinct()
-        pairs = stored(pairs, "pairs")
-        asked = pairs if asked is None else asked.unionByName(pairs)
+        front = stored(met_centres(front, len(moves), s), "front")
+        if texts is None:
+            texts = stored(texts_of(front.select("content")), "shingles")
+        pairs = front.select("content", "root", F.explode("partners").alias("p")).select(
+            "content", "root", F.col("p.centre").alias("centre"), F.col("p.its_root").alias("its_root"))
         with_texts = (
-            pairs.join(texts.select(F.col("content").alias("a"), F.col("runs").alias("runs_a")), "a")
-            .join(texts.select(F.col("content").alias("b"), F.col("runs").alias("runs_b")), "b")
+            pairs.join(texts.withColumnRenamed("runs", "runs_a"), "content")
+            .join(texts.select(F.col("content").alias("centre"), F.col("runs").alias("runs_b")), "centre")
         )
-        found = stored(with_texts.mapInPandas(_verified(s), "a long, b long"), "found")
-        if roots is None:
-            roots = components(found)
-        elif found.isEmpty():
-            return roots
-        else:
-            roots = components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-        n += 1
+        found = stored(with_texts.select(F.col("root").alias("a"), F.col("its_root").alias("b"), "runs_a", "runs_b")
+                       .mapInPandas(_verified(s), "a long, b long"), "found")
+        if found.isEmpty():
+            return moves
+        moves.append(components(found))
+        front = relabelled(front, moves[-1])
 
 
 def near_duplicate_classes(docs: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -191,17 +233,14 @@ def near_duplicate_classes(docs: DataFrame, settings: Settings = Settings(), id_
         prints.where(F.col("content").isNotNull()).groupBy("content")
         .agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("prints").alias("prints")), "contents")
 
-    # a content that is alone in all its buckets needs no further work
-    sketched = contents.select("content", "first", F.posexplode("prints").alias("sketch", "key"))
-    crowded = sketched.groupBy("sketch", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sketch", "key")
-    members = stored(sketched.join(crowded, ["sketch", "key"]), "members")
-    needed = members.select(F.col("first").alias("needed")).distinct()
-    wanted = rows.join(needed, F.col("id").eqNullSafe(F.col("needed")), "left_semi")
-    texts = stored(wanted.select("text").mapInPandas(_shingled(s), "content long, runs array<int>").dropDuplicates(["content"]), "shingles")
-
-    roots = linked_classes(members.select("content", "sketch", "key"), texts, s)
-    per_content = contents.select("content", "first", "copies").join(roots.withColumnRenamed("node", "content"), "content", "left").withColumn(
-        "root", F.coalesce("root", "content"))
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        needed = contents.select("content", F.col("first").alias("needed")).join(wanted, "content", "left_semi").select("needed")
+        owners = rows.join(needed, F.col("id").eqNullSafe(F.col("needed")), "left_semi")
+        return owners.select("text").mapInPandas(_shingled(s), "content long, runs array<int>").dropDuplicates(["content"])
+
+    per_content = contents.select("content", "first", "copies", F.col("content").alias("root"))
+    for moved in linked_classes(contents.select("content", "prints"), texts_of, s):
+        per_content = relabelled(per_content, moved)
     classes = per_content.groupBy("root").agg(F.min("first").alias("class_id"), F.sum("copies").alias("class_size"))
     labelled = per_content.join(classes, "root").select("content", "class_id", "class_size")
     alone = F.col("content").isNull()
