@@ -11,6 +11,7 @@ import hashlib
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -24,6 +25,7 @@ from goldpan.llm.words import mixed, plain_words, run_hashes, word_hashes
 
 _SPREAD = np.uint64(0xE7037ED1A0B428DB)
 _HASHES_AT_ONCE = 1 << 16  # all sketches of a short text in one array; those of a long one in several
+_CELLS = 1 << 21  # counters that tell rare shingles from frequent ones; how many there are changes the work, not the result
 
 
 @dataclass(frozen=True)
@@ -105,6 +107,44 @@ def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
     return len(tails) >= need
 
 
+def _in_cells(runs: np.ndarray) -> np.ndarray:
+    return runs.view(np.uint32) & np.uint32(_CELLS - 1)
+
+
+def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    counts = np.zeros(_CELLS, np.int64)
+    for batch in batches:
+        for runs in batch["runs"]:
+            np.add.at(counts, _in_cells(np.asarray(runs, np.int32)), 1)
+    used = np.flatnonzero(counts)
+    yield pd.DataFrame({"cell": used.astype(np.int32), "n": counts[used]})
+
+
+def prefix(runs: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray:
+    """The shingles, rarest first by ``counts`` and then by hash, of which two texts of similarity ``least`` have one in common.
+
+    All but that many of n shingles are fewer than the ``least`` x n that such texts share.
+    """
+    p = Fraction(least).limit_denominator(1000)
+    some = len(runs) - -(-p.numerator * len(runs) // p.denominator) + 1
+    own = np.unique(runs)
+    return own[np.lexsort((own, counts[_in_cells(own)]))[:some]]
+
+
+def _prefixes(counts, s: Settings):
+    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [prefix(np.asarray(r, np.int32), counts.value, s.similarity) for r in batch["runs"]]
+            sizes = [len(f) for f in found]
+            yield pd.DataFrame({
+                "content": np.repeat(batch["content"].to_numpy(), sizes), "root": np.repeat(batch["root"].to_numpy(), sizes),
+                "size": np.repeat([len(r) for r in batch["runs"]], sizes).astype(np.int64),
+                "place": np.concatenate([np.arange(k, dtype=np.int64) for k in sizes] or [np.empty(0, np.int64)]),
+                "shingle": np.concatenate(found or [np.empty(0, np.int32)])})
+
+    return made
+
+
 def _sketched(s: Settings):
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -187,13 +227,53 @@ def relabelled(rows: DataFrame, moves: DataFrame) -> DataFrame:
     return rows.join(to, "root", "left").withColumn("root", F.coalesce("new_root", "root")).drop("new_root")
 
 
+def open_links(front: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """All links (a, b: roots) between the contents of ``front`` that are in different classes; no pair is left out by a limit.
+
+    Prefix filter: two similar texts have a shingle in common among the rarest of each, and after the first such one enough are left of
+    both.  Classes are paired first, so texts of one class, however many, are never paired with each other.  Each pair is verified once.
+    """
+    spark = front.sparkSession
+    rows = stored(front.select("content", "root").join(texts, "content"), "open")
+    counted = rows.select("runs").mapInPandas(_counted, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(_CELLS, np.int64)  # of fixed size, whatever the number of texts
+    counts[counted["cell"]] = counted["n"]
+    shared = spark.sparkContext.broadcast(counts)
+    placed = stored(rows.mapInPandas(_prefixes(shared, s), "content long, root long, size long, place long, shingle int"), "prefixes")
+    ends = placed.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("shingle")
+    placed = stored(placed.join(ends, "shingle"), "postings")
+    of_class = placed.select("shingle", "root").distinct()
+    met = of_class.select("shingle", F.col("root").alias("root_a")).join(
+        of_class.select("shingle", F.col("root").alias("root_b")), "shingle").where("root_a < root_b")
+    side = {x: placed.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("content", "root", "size", "place")]) for x in "ab"}
+    p = Fraction(s.similarity).limit_denominator(1000)
+    left = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+    pairs = (
+        met.join(side["a"], ["shingle", "root_a"]).join(side["b"], ["shingle", "root_b"])
+        .where(left * F.lit(p.numerator + p.denominator) >= (F.col("size_a") + F.col("size_b")) * F.lit(p.numerator))
+        .select("content_a", "content_b", "root_a", "root_b").distinct()
+    )
+    return verified(stored(pairs, "pairs"), texts, s)
+
+
+def verified(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """Roots (a, b) of the pairs (content_a, content_b, root_a, root_b) whose texts are similar."""
+    with_texts = (
+        pairs.join(texts.select(F.col("content").alias("content_a"), F.col("runs").alias("runs_a")), "content_a")
+        .join(texts.select(F.col("content").alias("content_b"), F.col("runs").alias("runs_b")), "content_b")
+    )
+    return stored(with_texts.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"), "runs_a", "runs_b")
+                  .mapInPandas(_verified(s), "a long, b long"), "found")
+
+
 def linked_classes(contents: DataFrame, texts_of: Callable[[DataFrame], DataFrame], s: Settings) -> list[DataFrame]:
     """Moves of roots (node, root), one table per round, to be applied in turn: the classes that verified links form.
 
     ``contents`` has content and prints (one key per sketch); ``texts_of`` gives content and runs of the contents in a table.  In every
     bucket each member is compared with a few centres.  Centres are the contents first by digests of their own, so a centre turns up in all
     buckets of its neighbours.  Buckets whose members are in several classes by then go on with other centres, until a round finds no
-    link; all pairs of a bucket are never listed.  Links are kept between classes, so later rounds are as small as what they find.
+    link.  These rounds only make the classes large: what is open after them, pairs that share a bucket and are in different classes, is
+    finished by ``open_links``.  Links are kept between classes, so later rounds are as small as what they find.
     """
     front = contents.select(
         "content", F.col("content").alias("root"), F.array().cast("array<long>").alias("asked"),
@@ -205,15 +285,12 @@ def linked_classes(contents: DataFrame, texts_of: Callable[[DataFrame], DataFram
         if texts is None:
             texts = stored(texts_of(front.select("content")), "shingles")
         pairs = front.select("content", "root", F.explode("partners").alias("p")).select(
-            "content", "root", F.col("p.centre").alias("centre"), F.col("p.its_root").alias("its_root"))
-        with_texts = (
-            pairs.join(texts.withColumnRenamed("runs", "runs_a"), "content")
-            .join(texts.select(F.col("content").alias("centre"), F.col("runs").alias("runs_b")), "centre")
-        )
-        found = stored(with_texts.select(F.col("root").alias("a"), F.col("its_root").alias("b"), "runs_a", "runs_b")
-                       .mapInPandas(_verified(s), "a long, b long"), "found")
+            F.col("content").alias("content_a"), F.col("p.centre").alias("content_b"),
+            F.col("root").alias("root_a"), F.col("p.its_root").alias("root_b"))
+        found = verified(pairs, texts, s)
         if found.isEmpty():
-            return moves
+            rest = open_links(front, texts, s)
+            return moves if rest.isEmpty() else [*moves, components(rest)]
         moves.append(components(found))
         front = relabelled(front, moves[-1])
 
