@@ -30,12 +30,15 @@ _CELLS = 1 << 21  # counters that tell rare shingles from frequent ones; how man
 
 @dataclass(frozen=True)
 class Settings:
-    """With 6 shingles a sketch, two texts of similarity 0.8 share one with probability 0.26, and one of 32 with 0.99994."""
+    """With 6 shingles a sketch, two long texts of similarity 0.8 share one of 32 with probability 0.99994, and those just above
+    ``short`` with at least 0.99989.  Two texts of ``short`` shingles at most always share a key, as they have their prefixes as keys as well.
+    """
 
     shingle_words: int = 5
     similarity: float = 0.8
     sketches: int = 32
     per_sketch: int = 6
+    short: int = 75  # so every pair of similarity 0.8 in which one text has 60 shingles at most
     centres: int = 4
     partners: int = 4  # centres that a member is compared with in the first round
     # the same in later rounds, where few buckets are left and only members of the class with the greater root ask
@@ -82,13 +85,25 @@ def sketches(runs: np.ndarray, count: int, size: int) -> list[int]:
     return keys
 
 
+def needed(size: int, least: float) -> int:
+    """The smallest whole number that is not below ``least`` x ``size``, as a fraction and so without rounding."""
+    p = Fraction(least).limit_denominator(1000)
+    return -(-p.numerator * size // p.denominator)
+
+
+def prefix_keys(runs: np.ndarray, least: float) -> list[int]:
+    """The smallest hashes of the shingles: two texts of similarity ``least`` have one of them in common."""
+    return np.sort(runs)[:len(runs) - needed(len(runs), least) + 1].view(np.int64).tolist()
+
+
 def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
     """Whether the best alignment has at least ``least`` of all shingles in common: L / (|a| + |b| - L).
 
     Labelled shingles are unique within a text, so the alignment is the longest rising run of positions in ``b``.  Pairs outside the
     band that so many common shingles allow are left out; they cannot be part of such an alignment.
     """
-    need = least * (len(a) + len(b)) / (1 + least)
+    p = Fraction(least).limit_denominator(1000)
+    need = -(-p.numerator * (len(a) + len(b)) // (p.numerator + p.denominator))
     if min(len(a), len(b)) < need:
         return False
     _, at, to = np.intersect1d(a, b, assume_unique=True, return_indices=True)
@@ -125,10 +140,8 @@ def prefix(runs: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray:
 
     All but that many of n shingles are fewer than the ``least`` x n that such texts share.
     """
-    p = Fraction(least).limit_denominator(1000)
-    some = len(runs) - -(-p.numerator * len(runs) // p.denominator) + 1
     own = np.unique(runs)
-    return own[np.lexsort((own, counts[_in_cells(own)]))[:some]]
+    return own[np.lexsort((own, counts[_in_cells(own)]))[:len(runs) - needed(len(runs), least) + 1]]
 
 
 def _prefixes(counts, s: Settings):
@@ -146,11 +159,16 @@ def _prefixes(counts, s: Settings):
 
 
 def _sketched(s: Settings):
+    def keys(runs: np.ndarray) -> list[int] | None:
+        if not len(runs):
+            return None
+        return sketches(runs, s.sketches, s.per_sketch) + (prefix_keys(runs, s.similarity) if len(runs) <= s.short else [])
+
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [shingles(t, s.shingle_words) for t in batch["text"]]
             yield pd.DataFrame({"id": batch["id"], "content": pd.array([c for c, _ in found], dtype="Int64"),
-                                "prints": [sketches(runs, s.sketches, s.per_sketch) if len(runs) else None for _, runs in found]})
+                                "prints": [keys(runs) for _, runs in found]})
 
     return made
 
@@ -269,7 +287,7 @@ def verified(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
 def linked_classes(contents: DataFrame, texts_of: Callable[[DataFrame], DataFrame], s: Settings) -> list[DataFrame]:
     """Moves of roots (node, root), one table per round, to be applied in turn: the classes that verified links form.
 
-    ``contents`` has content and prints (one key per sketch); ``texts_of`` gives content and runs of the contents in a table.  In every
+    ``contents`` has content and prints (one key per sketch, then prefix keys of a short text, in buckets of their own); ``texts_of`` gives content and runs of the contents in a table.  In every
     bucket each member is compared with a few centres.  Centres are the contents first by digests of their own, so a centre turns up in all
     buckets of its neighbours.  Buckets whose members are in several classes by then go on with other centres, until a round finds no
     link.  These rounds only make the classes large: what is open after them, pairs that share a bucket and are in different classes, is
@@ -277,7 +295,7 @@ def linked_classes(contents: DataFrame, texts_of: Callable[[DataFrame], DataFram
     """
     front = contents.select(
         "content", F.col("content").alias("root"), F.array().cast("array<long>").alias("asked"),
-        F.transform("prints", lambda p, k: F.struct(k.alias("sketch"), p.alias("key"))).alias("keys"))
+        F.transform("prints", lambda p, k: F.struct(F.least(k, F.lit(s.sketches)).alias("sketch"), p.alias("key"))).alias("keys"))
     moves: list[DataFrame] = []
     texts = None
     while True:

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from conftest import prose
 
 from goldpan.llm import neardup
@@ -29,3 +30,24 @@ def test_near_duplicates_of_a_large_bucket_equal_brute_force(spark):
         to = {r["node"]: r["root"] for r in moves.collect()}
         roots = {i: to.get(r, r) for i, r in roots.items()}
     assert {(r, i) for i, r in roots.items() if r != i} == expected
+
+
+def test_near_duplicates_of_short_texts(spark):
+    rows = []
+    for k in range(60):
+        words = [f"w{k}x{j}" for j in range(8 + k % 4)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words + ["more"]))]
+    found = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {i: i - i % 2 for i in found} and len(found) == 120
+
+
+def test_similarity_of_exactly_four_fifths_counts():
+    for n in range(9, 4000, 9):
+        # n shingles in both texts together, of which 4 n / 9 are common
+        a, b = np.arange(n // 2, dtype=np.uint64), np.arange(n - n // 2, dtype=np.uint64)
+        common = 4 * n // 9
+        a[common:] += np.uint64(10_000)
+        b[common:] += np.uint64(20_000)
+        assert neardup.similar(a, b, 0.8)
+        a[0] += np.uint64(30_000)
+        assert not neardup.similar(a, b, 0.8)
