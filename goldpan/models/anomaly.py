@@ -10,14 +10,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldpan.functions.hashing import digest, uniform
 from goldpan.models.moments import overall, unpack
 from goldpan.operators.neighbors import knn_join
 from goldpan.operators.ordering import top_per_group
 from goldpan.session import materialize
 
 SAMPLE_ROWS = 256
-POOL_FACTOR = 32  # rows drawn for all trees together: POOL_FACTOR samples
+DRAWN = 2 * SAMPLE_ROWS  # rows expected below a tree's threshold; fewer than SAMPLE_ROWS have a probability of e^-78
 NODES = "tree int, node int, feature int, threshold double, left int, right int, depth int, rows int"
 
 
@@ -57,19 +56,32 @@ def _grow(seed: int):
     return grow
 
 
+def _samples(rows: DataFrame, n: int, trees: int, seed: int, row_id: str) -> DataFrame:
+    """For each tree the SAMPLE_ROWS rows of the whole table with the smallest hashes of its own; a threshold spares sorting the rest."""
+    share = DRAWN / max(n, 1)
+    while True:
+        least = F.lit(2**63 - 1 if share >= 1 else int(share * 2**64) - 2**63).cast("long")
+
+        def of_tree(t):
+            return F.xxhash64(F.lit(seed), t, F.col(row_id))
+
+        every = F.sequence(F.lit(0), F.lit(trees - 1))
+        per_tree = rows.withColumn("tree", F.explode(F.filter(every, lambda t: of_tree(t) <= least))).withColumn("digest", of_tree(F.col("tree")))
+        samples = materialize(top_per_group(per_tree, ["tree"], [F.col("digest")], SAMPLE_ROWS, "_rank"))
+        # ids that repeat share a hash, so fewer rows than expected may be below the threshold
+        if share >= 1 or samples.count() >= trees * min(n, SAMPLE_ROWS):
+            return samples
+        share *= 8
+
+
 def isolation_forest(df: DataFrame, trees: int = 100, seed: int = 42, row_id: str = "row_id", features: str = "features") -> DataFrame:
     """Adds ``anomaly_score`` in (0, 1] and ``is_outlier`` (score above one half).
 
-    Each tree is grown in its own task from a fixed-size keyed sample, which is the method itself; every row of the
-    table is scored.  All trees together have at most trees x 511 nodes and travel with the scoring function.
+    Each tree is grown in its own task from a fixed-size keyed sample of the whole table, which is the method itself; every row of
+    the table is scored.  All trees together have at most trees x 511 nodes and travel with the scoring function.
     """
     n = df.count()
-    share = min(1.0, POOL_FACTOR * SAMPLE_ROWS / max(n, 1))
-    pool = df.select(F.col(row_id), vector_to_array(features).alias("v"))
-    pool = pool.filter(uniform(seed, [row_id]) < share) if share < 1 else pool
-    per_tree = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
-        "digest", digest(F.col("tree"), [F.lit(seed), row_id]))
-    samples = top_per_group(per_tree, ["tree"], [F.col("digest")], SAMPLE_ROWS, "_rank")
+    samples = _samples(df.select(F.col(row_id), vector_to_array(features).alias("v")), n, trees, seed, row_id)
     grown = samples.groupBy("tree").applyInPandas(_grow(seed), NODES).toPandas().sort_values(["tree", "node"])
     forest = [g[["feature", "threshold", "left", "right", "depth", "rows"]].to_numpy() for _, g in grown.groupby("tree")]
     normal = float(_expected_depth(min(n, SAMPLE_ROWS))) or 1.0

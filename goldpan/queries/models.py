@@ -253,7 +253,7 @@ def anom_envelope(spark, folder):
 def anom_iforest(spark, folder):
     events = table(spark, folder, "events").select(F.col("event_id").alias("row_id"), F.hour("ts").cast("double").alias("hour"), "value")
     rows = features.assemble(events, ["hour", "value"])
-    return anomaly.isolation_forest(rows, trees=50).select("row_id", "anomaly_score", "is_outlier")
+    return anomaly.isolation_forest(rows).select("row_id", "anomaly_score", "is_outlier")
 
 
 @query("q_eval_classification")
