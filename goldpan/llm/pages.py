@@ -21,6 +21,8 @@ INLINE = frozenset(
     " time tt u var wbr".split()
 )
 MAIN = frozenset(("article", "main"))
+#: What an open head may hold; anything else ends it, as its end tag may be left out.
+HEAD_PARTS = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 #: An open element of the first kind ends where one of the second kind begins.
 ENDS_BEFORE = {
     "p": frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p"
@@ -91,6 +93,8 @@ class LineReader(HTMLParser):
         return False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.open and self.open[-1][0] == "head" and tag not in HEAD_PARTS:
+            self._close()
         if tag == "br":
             self.current.parts.append(" ")
             self.current.tags += 1
@@ -137,6 +141,8 @@ class LineReader(HTMLParser):
             self._close()
 
     def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1][0] == "head" and data.strip():
+            self._close()
         if self.silent:
             return
         self.current.parts.append(data)
@@ -167,8 +173,8 @@ def main_lines(lines: list[Line], sigma: float) -> list[Line]:
     """Lines of the content region.
 
     Lines whose smoothed ratio reaches the standard deviation of all of them form the content cluster.  Its region is what the
-    marked main elements around it hold, or else the smallest element that holds at least 90 % of the cluster's text; short lines
-    between long ones belong to the region as well.
+    marked main elements hold, if they hold most of the cluster's text, or else the smallest element that holds the whole cluster; short
+    lines between long ones belong to the region as well.
     """
     value = ratios(lines)
     if not len(value) or not value.any():
@@ -178,14 +184,11 @@ def main_lines(lines: list[Line], sigma: float) -> list[Line]:
     content = [x for x, v in zip(lines, smooth, strict=True) if v >= threshold and x.text and not x.chrome]
     if not content:
         return []
-    if any(x.main for x in content):
-        return [x for x in lines if x.main and x.text and not x.chrome]
-    weight: dict[int, int] = {}
-    for x in content:
-        for n in x.path:
-            weight[n] = weight.get(n, 0) + len(x.text)
     total = sum(len(x.text) for x in content)
-    root = max((n for n, w in weight.items() if w >= 0.9 * total), default=None)  # elements are numbered from the outside in
+    if 2 * sum(len(x.text) for x in content if x.main) > total:
+        return [x for x in lines if x.main and x.text and not x.chrome]
+    around = set(content[0].path).intersection(*(x.path for x in content[1:]))
+    root = max(around, default=None)  # elements are numbered from the outside in
     return [x for x in lines if x.text and not x.chrome and (root is None or root in x.path)]
 
 

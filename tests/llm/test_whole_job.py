@@ -6,6 +6,7 @@ import numpy as np
 from conftest import prose
 
 from goldpan.llm import neardup
+from goldpan.llm.pages import main_text
 
 
 def test_near_duplicates_of_a_large_bucket_equal_brute_force(spark):
@@ -51,3 +52,18 @@ def test_similarity_of_exactly_four_fifths_counts():
         assert neardup.similar(a, b, 0.8)
         a[0] += np.uint64(30_000)
         assert not neardup.similar(a, b, 0.8)
+
+
+LONG = "This sentence of the text is long enough to count as a part of the content of the page and has no links at all."
+
+
+def test_main_text_keeps_all_content():
+    body = "".join(f"<p>{LONG} {k}</p>" for k in range(40))
+    lead = f"<div><p>{LONG} {LONG} {LONG} lead</p></div>"  # less than a tenth of the text
+    assert main_text(f"<html><head></head><body>{lead}<div>{body}</div></body></html>").startswith(f"{LONG} {LONG} {LONG} lead\n{LONG} 0\n")
+    teaser = f"<article><p>{LONG} teaser</p></article>"
+    text = main_text(f"<html><head></head><body><div>{body}</div>{teaser}</body></html>")
+    assert all(f"{LONG} {k}" in text.split("\n") for k in range(40))
+    for start in ("<body>", "", "<br>"):
+        assert main_text(f"<html><head><title>T</title>{start}<p>{LONG}</p>") == LONG
+    assert main_text(f"<head><title>T</title>{LONG}") == LONG
