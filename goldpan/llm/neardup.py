@@ -25,7 +25,7 @@ from goldpan.llm.words import mixed, plain_words, run_hashes, word_hashes
 
 _SPREAD = np.uint64(0xE7037ED1A0B428DB)
 _HASHES_AT_ONCE = 1 << 16  # all sketches of a short text in one array; those of a long one in several
-_CELLS = 1 << 21  # counters that tell rare shingles from frequent ones; how many there are changes the work, not the result
+_CELLS = 1 << 18  # counters that tell rare shingles from frequent ones; how many there are changes the work, not the result
 
 
 @dataclass(frozen=True)
@@ -255,7 +255,8 @@ def open_links(front: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     rows = stored(front.select("content", "root").join(texts, "content"), "open")
     counted = rows.select("runs").mapInPandas(_counted, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(_CELLS, np.int64)  # of fixed size, whatever the number of texts
-    counts[counted["cell"]] = counted["n"]
+    counts[counted["cell"].to_numpy()] = counted["n"].to_numpy()
+    del counted
     shared = spark.sparkContext.broadcast(counts)
     placed = stored(rows.mapInPandas(_prefixes(shared, s), "content long, root long, size long, place long, shingle int"), "prefixes")
     ends = placed.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("shingle")
