@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldpan.llm import decontaminate, language, licenses, mixing, neardup, pages, substrings, tokens, topk, toxicity
+from goldpan.llm import ann, decontaminate, divergence, language, licenses, mixing, neardup, pages, spelling, substrings, tokens, topk, toxicity
 from goldpan.queries.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -85,3 +85,19 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     kept = substrings.remove_repeated_passages(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op11_spelling_variants", spelling.VARIANTS_SQL)
+def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group_variants(table(spark, folder, "documents"))
+
+
+@query("op12_nearest_neighbours")
+def neighbours_of_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return ann.nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+@query("op13_source_divergence", divergence.DIVERGENCE_SQL)
+def divergence_of_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, folder, "documents"))
