@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from goldpan.functions.hashing import digest
 from goldpan.llm.shared import stored
 
+_SCORES_AT_ONCE = 1 << 21
+_SEARCHES_IN_TASK = 128  # walks through the queue, each some milliseconds long
+
 
 @dataclass(frozen=True)
 class Forest:
@@ -109,7 +112,10 @@ def grow(sample: np.ndarray, radius: float, rows: int, trees: int, leaf_rows: in
 
 @dataclass(frozen=True)
 class Shards:
-    """Neighbouring leaves are searched together, in shards of about ``rows`` rows; a leaf of more rows has several shards of its own."""
+    """Neighbouring leaves are searched together, in shards of about ``rows`` rows; a leaf of more rows has several shards of its own.
+
+    A shard hands on k + 1 rows per query, however many of its leaves the query visits, so large shards keep that small.
+    """
 
     first: list[np.ndarray]  # per tree and leaf
     count: list[np.ndarray]
@@ -170,7 +176,7 @@ def _best_of(rows: np.ndarray, lows: np.ndarray, queries: np.ndarray, allowed: n
 
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding",
                        trees: int = 4, leaf_rows: int = 64, sample_rows: int = 16_384, pilots: int = 64, target: float = 0.95,
-                       shard_rows: int = 4096, block_rows: int = 2048, seed: int = 11) -> DataFrame:
+                       shard_rows: int = 65_536, block_rows: int = 2048, seed: int = 11) -> DataFrame:
     """query_id, rank, id and score (inner product in double precision) of the ``k`` nearest rows found for every query.
 
     Cuts are fitted on ``sample_rows`` vectors drawn by digest; every vector is then put into one leaf of each tree.  ``pilots`` queries
@@ -196,7 +202,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, id_c
     asked = usable(queries).distinct()
     goals = stored(asked.select("v").distinct().select(F.monotonically_increasing_id().alias("goal"), "v"), "goals")
     rows, longest, dims = points.agg(F.count(F.lit(1)), F.max("norm"), F.max(F.size("v"))).first()
-    most = goals.agg(F.max(F.size("v"))).first()[0]
+    n_goals, most = goals.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
     empty = spark.createDataFrame([], f"query_id long, rank int, {id_column} long, score double")
     if not rows or most is None:
         return empty
@@ -246,7 +252,8 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, id_c
                 shard = shards.first[tree][leaf] + batch["point"].to_numpy() % shards.count[tree][leaf]
                 yield pd.DataFrame({"tree": tree, "shard": shard, "leaf": leaf, "point": batch["point"], "low": batch["low"], "v": batch["v"]})
 
-    wanted = stored(goals.mapInPandas(visits, "goal long, v array<double>, tree int, shard long, leaves array<int>"), "visits")
+    dealt = goals.repartition(-(-n_goals // _SEARCHES_IN_TASK), "goal")
+    wanted = stored(dealt.mapInPandas(visits, "goal long, v array<double>, tree int, shard long, leaves array<int>"), "visits")
     # a shard meets its queries in blocks, so a task holds a bounded number of either
     blocks = stored(wanted.groupBy("tree", "shard").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("blocks")), "blocks")
     left = (
@@ -261,8 +268,9 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, id_c
         if len(here) and len(asking):
             matrix, names, lows = _matrix(here["v"], dims), here["point"].to_numpy(), here["low"].to_numpy()
             leaf_names, leaf_at = np.unique(here["leaf"].to_numpy(), return_inverse=True)
-            for low in range(0, len(asking), 256):
-                some = asking.iloc[low:low + 256]
+            step = max(1, _SCORES_AT_ONCE // len(here))
+            for low in range(0, len(asking), step):
+                some = asking.iloc[low:low + step]
                 allowed = np.zeros((len(some), len(leaf_names)), bool)
                 for j, leaves in enumerate(some["leaves"]):
                     allowed[j] = np.isin(leaf_names, leaves)
