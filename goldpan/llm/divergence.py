@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from goldpan.llm.shared import stored
 
 SCALE = 1_000_000_000
-_FLUSH = 200_000  # entries of a task's table of counts; more are handed on and counted again later
+_FLUSH = 400_000  # entries of a task's table of counts; more are handed on and counted again later
 # A-Z lower-cased, letters and all bytes of code points beyond ASCII kept, everything else a space
 _TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
@@ -28,28 +28,29 @@ def terms(text: str) -> list[bytes]:
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Partial counts: lang, source, term, occurrences, documents."""
-    n: Counter = Counter()
-    docs: Counter = Counter()
+    """Partial counts: lang, source, term, occurrences, documents; the empty term stands for the group itself."""
+    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
 
     def handed() -> pd.DataFrame:
-        out = pd.DataFrame([(*key, count, docs[key]) for key, count in n.items()], columns=["lang", "source", "term", "n", "docs"])
-        out["term"] = [t.decode("utf-8", "surrogatepass") for t in out["term"]]
-        n.clear()
-        docs.clear()
-        return out
+        rows = [(*group, term.decode("utf-8", "surrogatepass"), count, docs[term]) for group, (n, docs) in held.items() for term, count in n.items()]
+        held.clear()
+        return pd.DataFrame(rows, columns=["lang", "source", "term", "n", "docs"])
 
+    entries = 0
     for batch in batches:
         for lang, source, text in zip(batch["lang"], batch["source"], batch["text"], strict=True):
-            for term, count in Counter(terms(text)).items():
-                key = lang, source, term
-                n[key] += count
-                docs[key] += 1
-            n[lang, source, b""] += 0  # a group without terms is one as well
-            docs[lang, source, b""] += 1
-            if len(n) > _FLUSH:
+            n, docs = held.setdefault((lang, source), (Counter(), Counter()))
+            found = terms(text)
+            entries -= len(n)
+            n.update(found)
+            docs.update(set(found))
+            n[b""] += 0  # a group without terms is one as well
+            docs[b""] += 1
+            entries += len(n)
+            if entries > _FLUSH:
                 yield handed()
-    if n:
+                entries = 0
+    if held:
         yield handed()
 
 
