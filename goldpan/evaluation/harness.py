@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ from goldpan.operators import series, split
 from goldpan.operators.columns import drop_null_rows
 from goldpan.session import materialize, scratch_path
 
+PARALLEL_MODELS = 4  # models of a run that are fitted at the same time
 STATUS = "problem string, model string, run int, status string, message string"
 PREDICTIONS = "model string, run int, y double, yhat double, score double"
 REGRESSION_ROWS = ("problem string, model string, run int, train_mae double, test_mae double, test_mse double,"
@@ -51,6 +54,7 @@ def fit_all(
     runs: int = 5,
     fraction: float = 0.2,
     fit_on: str = "train",
+    parallel: int = PARALLEL_MODELS,
 ) -> DataFrame:
     """Fit every model in every run, hand its predictions to ``consume``, and return the status of every (model, run).
 
@@ -65,17 +69,23 @@ def fit_all(
         marked = split.exact_holdout(df, keys, fraction, run, strata).repartition(*keys).persist()
         scale = wide or prep.fit_standard(marked.filter(~F.col("is_test")), columns)
         rows = prep.assemble(scale.transform(marked), columns)
-        train = rows.filter(~F.col("is_test"))
-        for name, fit in built.items():
+        train = rows.filter(~F.col("is_test")).drop("is_test")
+
+        def one(name: str, fit: Fit | Exception, run: int = run, rows: DataFrame = rows, train: DataFrame = train) -> tuple:
             try:
                 if isinstance(fit, Exception):
                     raise fit
-                predict = fit(train.drop("is_test"))
+                predict = fit(train)
                 # the training error is part of a regression result; a classifier is judged on test rows only
                 consume(name, run, predict(rows if problem == "regression" else rows.filter("is_test")))
-                status.append((problem, name, run, "ok", None))
+                return problem, name, run, "ok", None
             except Exception as error:  # one failing model must not end the evaluation
-                status.append((problem, name, run, "failed", _failure(error)))
+                return problem, name, run, "failed", _failure(error)
+
+        # fits are sequences of small jobs; several at a time fill the cores
+        with ThreadPoolExecutor(parallel) as pool:
+            work = inheritable_thread_target(df.sparkSession)(one)
+            status += pool.map(work, built, built.values())
         marked.unpersist()
     return df.sparkSession.createDataFrame(status, STATUS)
 
@@ -88,15 +98,16 @@ def evaluate_classification(df: DataFrame, columns: Sequence[str], models: Mappi
     over all of them then gives the metrics of all models and runs.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, "predictions")
-    spark.createDataFrame([], PREDICTIONS).write.parquet(path)
+    paths: list[str] = []  # one folder per fit, as several are written at a time
 
     def store(name: str, run: int, out: DataFrame) -> None:
+        path = scratch_path(spark, "predictions")
         out.select(F.lit(name).alias("model"), F.lit(run).alias("run"), F.col("y").cast("double").alias("y"),
-                   F.col("yhat").cast("double").alias("yhat"), "score").write.mode("append").parquet(path)
+                   F.col("yhat").cast("double").alias("yhat"), "score").write.parquet(path)
+        paths.append(path)
 
     status = fit_all(df, "classification", columns, models, keys, store, **options)
-    written = spark.read.schema(PREDICTIONS).parquet(path)
+    written = spark.read.schema(PREDICTIONS).parquet(*paths) if paths else spark.createDataFrame([], PREDICTIONS)
     rows = metrics.classification_metrics(written, ["model", "run"]).withColumn("problem", F.lit("classification"))
     return scoring.leaderboard(scoring.score_classification(materialize(rows), weights)), status
 
@@ -147,7 +158,7 @@ def evaluate_time_series(df: DataFrame, models: Sequence[str] = registry.TIME_SE
                          weights: Mapping[str, float] = scoring.TIME_SERIES_WEIGHTS) -> tuple[DataFrame, DataFrame]:
     """One chronological split per series; metric rows per model and series, ranked per series.
 
-    ``df`` has series_id, ds and y at a fixed grain.
+    ``df`` has series_id, ds and y at a fixed grain.  A series too short to have a training and a test part is reported as such.
     """
     spark = df.sparkSession
     known = materialize(series.time_split(drop_null_rows(df.select("series_id", "ds", "y"), ["ds", "y"]), share))
@@ -169,17 +180,60 @@ def evaluate_time_series(df: DataFrame, models: Sequence[str] = registry.TIME_SE
         raise RuntimeError("; ".join(s[4] for s in status))
     written = spark.read.parquet(path)
     rows = metrics.regression_metrics(written, ["model", "series_id"]).withColumn("problem", F.concat(F.lit("time-series/"), "series_id"))
-    return scoring.leaderboard(scoring.score_regression(materialize(rows), weights)), spark.createDataFrame(status, STATUS)
+    short = known.groupBy("series_id").agg(F.count_if("is_train").alias("_train"), F.count("*").alias("_all")).where("_train = 0 or _train = _all")
+    unjudged = short.select(
+        F.lit("time-series").alias("problem"), F.lit(None).cast("string").alias("model"), F.lit(0).alias("run"), F.lit("skipped").alias("status"),
+        F.concat(F.lit("series "), F.col("series_id").cast("string"), F.lit(" has no training or no test part")).alias("message"))
+    return scoring.leaderboard(scoring.score_regression(materialize(rows), weights)), spark.createDataFrame(status, STATUS).unionByName(unjudged)
+
+
+FLAGS = "model string, row_id long, score double, is_outlier boolean"
+
+
+def detect_anomalies(df: DataFrame, columns: Sequence[str], models: Mapping[str, object], row_id: str,
+                     parallel: int = PARALLEL_MODELS) -> tuple[DataFrame, DataFrame]:
+    """Score and flag of every row by every configured detector (``FLAGS``), and the status rows.
+
+    ``df`` has numeric ``columns`` and a unique integer ``row_id``; the columns are standardized first.
+    """
+    spark = df.sparkSession
+    plain = df.select(F.col(row_id).cast("long").alias("row_id"), *columns)
+    rows = materialize(prep.assemble(prep.fit_standard(plain, columns).transform(plain), columns).select("row_id", "features"))
+    paths: list[str] = []
+
+    def one(name: str, detect: Callable[[DataFrame], DataFrame] | Exception) -> tuple:
+        try:
+            if isinstance(detect, Exception):
+                raise detect
+            path = scratch_path(spark, "flags")
+            detect(rows).select(F.lit(name).alias("model"), "row_id", F.col("score").cast("double").alias("score"), "is_outlier").write.parquet(path)
+            paths.append(path)
+            return "anomaly-detection", name, 0, "ok", None
+        except Exception as error:
+            return "anomaly-detection", name, 0, "failed", _failure(error)
+
+    built = resolve("anomaly-detection", models)
+    with ThreadPoolExecutor(parallel) as pool:
+        status = list(pool.map(inheritable_thread_target(spark)(one), built, built.values()))
+    flags = spark.read.schema(FLAGS).parquet(*paths) if paths else spark.createDataFrame([], FLAGS)
+    return flags, spark.createDataFrame(status, STATUS)
 
 
 def evaluate(df: DataFrame, problem: str, config: Mapping, columns: Sequence[str] = (), keys: Sequence[str] = (),
              date_column: str | None = None, **options) -> tuple[DataFrame, DataFrame]:
-    """Evaluate the models of an evaluation configuration ``{problem: {models, target_col, Golden Score}}``."""
-    if problem not in ("classification", "regression", "time-series"):
+    """Evaluate the models of an evaluation configuration ``{problem: {models, target_col, Golden Score}}``.
+
+    Detectors of anomalies have no target to be ranked by; their flags are the result.
+    """
+    if problem not in ("classification", "regression", "time-series", "anomaly-detection"):
         raise ValueError(f"invalid problem type: {problem!r}")
     if problem not in config:
         raise ValueError(f"problem type {problem!r} is not configured")
     section = config[problem]
+    if problem == "anomaly-detection":
+        if len(keys) != 1:
+            raise ValueError("anomaly detection needs the one key column of a row")
+        return detect_anomalies(df, columns, section["models"], keys[0], **options)
     weights = section["Golden Score"]
     target = section.get("target_col") or "y"
     if problem == "time-series":
@@ -187,7 +241,8 @@ def evaluate(df: DataFrame, problem: str, config: Mapping, columns: Sequence[str
             raise ValueError("time-series models need a date column")
         renamed = df.withColumnsRenamed({target: "y", date_column: "ds"})
         if "series_id" not in renamed.columns:
-            renamed = renamed.withColumn("series_id", F.lit("all"))
+            # one series of the mean per moment: as long as the calendar, not as the table
+            renamed = renamed.groupBy("ds").agg(F.avg("y").alias("y")).withColumn("series_id", F.lit("all"))
         return evaluate_time_series(renamed, list(section["models"]), weights=weights, **options)
     if not keys:
         raise ValueError("the holdout needs the key columns of a row")

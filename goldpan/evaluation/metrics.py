@@ -80,11 +80,12 @@ def classification_metrics(df: DataFrame, groups: Sequence[str]) -> DataFrame:
 def regression_metrics(df: DataFrame, groups: Sequence[str], prefix: str = "test_") -> DataFrame:
     """MAE, MSE, RMSE and R2 = 1 - SSE/SST around the mean of the rows, in one aggregation.
 
-    A constant target has R2 1 for a perfect prediction and 0 otherwise.
+    Rows without a prediction count in none of them.  A constant target has R2 1 for a perfect prediction and 0 otherwise.
     """
     error = F.col("y") - F.col("yhat")
     sums = df.groupBy(*groups).agg(
-        F.avg(F.abs(error)).alias(f"{prefix}mae"), F.avg(error * error).alias(f"{prefix}mse"), F.var_pop("y").alias("_var"))
+        F.avg(F.abs(error)).alias(f"{prefix}mae"), F.avg(error * error).alias(f"{prefix}mse"),
+        F.var_pop(F.when(error.isNotNull(), F.col("y"))).alias("_var"))
     mse = F.col(f"{prefix}mse")
     r2 = F.when(F.col("_var") != 0, 1 - mse / F.col("_var")).otherwise(F.when(mse == 0, 1.0).otherwise(0.0))
     return sums.withColumns({f"{prefix}rmse": F.sqrt(mse), f"{prefix}r2": r2}).drop("_var")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldpan.models.moments import overall, unpack
-from goldpan.operators.neighbors import knn_join
+from goldpan.operators.neighbors import Join, knn_join
 from goldpan.operators.ordering import top_per_group
 from goldpan.session import materialize
 
@@ -107,9 +108,9 @@ def isolation_forest(df: DataFrame, trees: int = 100, seed: int = 42, row_id: st
     return df.withColumn("anomaly_score", score(vector_to_array(features))).withColumn("is_outlier", F.col("anomaly_score") > 0.5)
 
 
-def local_outlier_factor(df: DataFrame, k: int = 20, row_id: str = "row_id", vector: str = "v") -> DataFrame:
-    """(row_id, lof): density of the neighbours relative to the own density; above 1 means sparser."""
-    near = materialize(knn_join(df, df, k, row_id, row_id, vector, vector, exclude_self=True))
+def local_outlier_factor(df: DataFrame, k: int = 20, row_id: str = "row_id", vector: str = "v", join: Join = knn_join) -> DataFrame:
+    """(row_id, lof): density of the neighbours, found by ``join``, relative to the own density; above 1 means sparser."""
+    near = materialize(join(df, df, k, row_id, row_id, vector, vector, exclude_self=True))
     reach_of = near.groupBy(F.col("query_id").alias("ref_id")).agg(F.max("distance").alias("_k_distance"))
     reach = near.join(reach_of, "ref_id").withColumn("_reach", F.greatest("distance", "_k_distance"))
     density = materialize(reach.groupBy("query_id").agg((1 / (F.avg("_reach") + F.lit(1e-10))).alias("_density")))
@@ -157,3 +158,26 @@ def elliptic_envelope(df: DataFrame, contamination: float = 0.1, support: float
     measured = mahalanobis(df, support, features=features)
     cut = measured.agg(F.percentile_approx("distance2", 1 - contamination, 10_000)).first()[0]
     return measured.withColumn("is_outlier", F.col("distance2") > F.lit(cut))
+
+
+# ---------------------------------------------------------------- by configuration
+
+Detector = Callable[[DataFrame], DataFrame]  # rows with row_id and features -> row_id, score (larger: more unusual), is_outlier
+
+
+def forest_detector(trees: int = 100, seed: int = 42) -> Detector:
+    return lambda df: isolation_forest(df, trees, seed).select("row_id", F.col("anomaly_score").alias("score"), "is_outlier")
+
+
+def neighbour_detector(k: int = 20, join: Join = knn_join) -> Detector:
+    """A row whose neighbours lie one and a half times as dense as itself is an outlier."""
+
+    def detect(df: DataFrame) -> DataFrame:
+        rows = df.select("row_id", vector_to_array("features").alias("v"))
+        return local_outlier_factor(rows, k, join=join).select("row_id", F.col("lof").alias("score"), (F.col("lof") > 1.5).alias("is_outlier"))
+
+    return detect
+
+
+def envelope_detector(contamination: float = 0.1, support: float | None = None) -> Detector:
+    return lambda df: elliptic_envelope(df, contamination, support).select("row_id", F.col("distance2").alias("score"), "is_outlier")

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Estimator
+from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,20 +27,20 @@ def second(vector: str) -> Column:
 
 def from_estimator(estimator: Estimator) -> Fit:
     """A Spark ML estimator (or pipeline ending in one) as a model."""
+    return lambda train: fitted(estimator.fit(train))
 
-    def fit(train: DataFrame) -> Predict:
-        model = estimator.fit(train)
 
-        def predict(df: DataFrame) -> DataFrame:
-            out = model.transform(df).withColumnRenamed("prediction", "yhat")
-            if "probability" in out.columns:
-                score = second("probability")
-            elif "rawPrediction" in out.columns:
-                score = second("rawPrediction")
-            else:
-                score = no_score()
-            return out.withColumn("score", score).drop("probability", "rawPrediction")
+def fitted(model: Model) -> Predict:
+    """A fitted Spark ML model as a function that adds ``yhat`` and ``score``."""
 
-        return predict
+    def predict(df: DataFrame) -> DataFrame:
+        out = model.transform(df).withColumnRenamed("prediction", "yhat")
+        if "probability" in out.columns:
+            score = second("probability")
+        elif "rawPrediction" in out.columns:
+            score = second("rawPrediction")
+        else:
+            score = no_score()
+        return out.withColumn("score", score).drop("probability", "rawPrediction")
 
-    return fit
+    return predict

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
-from pyspark.ml import Estimator, Pipeline
+from pyspark.ml import Estimator
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -22,10 +20,12 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldpan.models.base import Fit, Predict, from_estimator, no_score, second
-from goldpan.models.moments import by_class, unpack
+from goldpan.functions.hashing import digest_below
+from goldpan.models.base import Fit, Predict, fitted, from_estimator, no_score, second
+from goldpan.models.class_tables import choose, class_statistics, square, squared_distance, total, whitened_classes, whitening
+from goldpan.models.moments import unpack
 from goldpan.operators.features import FourierMap
-from goldpan.operators.neighbors import knn_join
+from goldpan.operators.neighbors import Join, knn_join
 from goldpan.session import materialize
 
 CHECKPOINT_ROUNDS = 10
@@ -137,30 +137,41 @@ def rff_svc(components: int = 100, gamma: float | None = None, c: float = 1.0, m
     return fit
 
 
-def mlp(hidden: tuple[int, ...] = (50, 50), max_iter: int = 500, seed: int = 42) -> Fit:
+def mlp(hidden: tuple[int, ...] = (50, 50), max_iter: int = 500, seed: int = 42, early_stopping: bool = False, validation: float = 0.1,
+        patience: int = 10, tolerance: float = 1e-4) -> Fit:
+    """A perceptron.  With ``early_stopping`` a ``validation`` share of the rows, drawn by a digest of their features, is kept back, and the
+    fit ends when ``patience`` further iterations make the accuracy there no better by ``tolerance``; the best weights count.
+    """
+
     def fit(train: DataFrame) -> Predict:
         d = train.select(F.size(vector_to_array("features"))).first()[0]
         classes = int(train.agg(F.max("y")).first()[0]) + 1
-        return from_estimator(MultilayerPerceptronClassifier(
-            labelCol="y", layers=[d, *hidden, max(2, classes)], maxIter=max_iter, seed=seed))(train)
-
-    return fit
 
+        def network(iterations: int, weights: object | None = None) -> MultilayerPerceptronClassifier:
+            made = MultilayerPerceptronClassifier(labelCol="y", layers=[d, *hidden, max(2, classes)], maxIter=iterations, seed=seed)
+            return made if weights is None else made.setInitialWeights(weights)
+
+        if not early_stopping:
+            return from_estimator(network(max_iter))(train)
+        marked = train.withColumn("_kept_back", digest_below(seed, [vector_to_array("features")], validation)).persist()
+        rows, judges = marked.filter(~F.col("_kept_back")), marked.filter("_kept_back")
+        if judges.isEmpty() or rows.isEmpty():
+            marked.unpersist()
+            return from_estimator(network(max_iter))(train)
+        best, weights, at = None, None, -math.inf
+        for done in range(0, max_iter, patience):
+            model = network(min(patience, max_iter - done), weights).fit(rows)
+            weights = model.weights
+            now = model.transform(judges).agg(F.avg((F.col("prediction") == F.col("y")).cast("double"))).first()[0]
+            better = now > at + tolerance
+            if best is None or now > at:
+                best, at = model, max(at, now)
+            if not better:
+                break
+        marked.unpersist()
+        return fitted(best)
 
-def _choose(df: DataFrame, log_scores: dict[float, Column]) -> DataFrame:
-    """``yhat`` is the class with the highest log score (the smaller class on a tie), ``score`` the share of class 1."""
-    classes = sorted(log_scores)
-    scored = df.withColumns({f"_l{i}": log_scores[c] for i, c in enumerate(classes)})
-    best = F.greatest(*[F.struct(F.col(f"_l{i}").alias("l"), F.lit(-c).alias("c")) for i, c in enumerate(classes)]) if len(classes) > 1 \
-        else F.struct(F.col("_l0").alias("l"), F.lit(-classes[0]).alias("c"))
-    scored = scored.withColumn("_best", best)
-    total = sum((F.exp(F.col(f"_l{i}") - F.col("_best.l")) for i in range(len(classes))), F.lit(0.0))
-    if 1.0 in classes:
-        score = F.exp(F.col(f"_l{classes.index(1.0)}") - F.col("_best.l")) / total
-    else:
-        score = no_score()
-    return (scored.withColumn("yhat", F.negative("_best.c")).withColumn("score", score)
-            .drop("_best", *[f"_l{i}" for i in range(len(classes))]))
+    return fit
 
 
 def gaussian_nb(smoothing: float = 1e-9) -> Fit:
@@ -168,23 +179,18 @@ def gaussian_nb(smoothing: float = 1e-9) -> Fit:
 
     def fit(train: DataFrame) -> Predict:
         plain, names = unpack(train, extra=["y"])
-        stats = plain.groupBy("y").agg(F.count("*"), *[F.avg(c).alias(f"m_{c}") for c in names],
-                                       *[F.var_pop(c).alias(f"v_{c}") for c in names]).collect()
-        spread = plain.agg(*[F.var_pop(c) for c in names]).first()
-        extra = smoothing * max(spread)
-        n = sum(r[1] for r in stats)
-        d = len(names)
+        stats = plain.groupBy(F.col("y").cast("double").alias("y")).agg(
+            F.count("*").alias("n"), F.array(*[F.avg(c) for c in names]).alias("mean"), F.array(*[F.var_pop(c) for c in names]).alias("var"))
+        row = plain.agg(F.count("*"), *[F.var_pop(c) for c in names]).first()
+        n, extra = row[0], smoothing * max(row[1:])
+        spread = F.transform("var", lambda v: v + F.lit(extra))
+        constant = F.log(F.col("n") / F.lit(n)) - total(F.transform("spread", lambda v: F.log(F.lit(2 * math.pi) * v) / 2))
+        classes = stats.withColumn("spread", spread).select(
+            "y", "mean", constant.alias("constant"), F.transform("spread", lambda v: 1 / (2 * v)).alias("weights"))
 
         def predict(df: DataFrame) -> DataFrame:
-            x = vector_to_array("features")
-            logs = {}
-            for row in stats:
-                total = F.lit(math.log(row[1] / n))
-                for i in range(d):
-                    mean, var = row[2 + i], row[2 + d + i] + extra
-                    total = total - F.lit(0.5 * math.log(2 * math.pi * var)) - F.pow(F.get(x, F.lit(i)) - F.lit(mean), 2) / F.lit(2 * var)
-                logs[float(row[0])] = total
-            return _choose(df, logs)
+            return choose(df, classes, vector_to_array("features"),
+                          lambda c, x: c["constant"] - squared_distance(x, c["mean"], c["weights"]), 2 * len(names))
 
         return predict
 
@@ -196,19 +202,16 @@ def bernoulli_nb(threshold: float = 0.0, alpha: float = 1.0) -> Fit:
 
     def fit(train: DataFrame) -> Predict:
         plain, names = unpack(train, extra=["y"])
-        stats = plain.groupBy("y").agg(F.count("*"), *[F.count(F.when(F.col(c) > threshold, 1)).alias(f"n_{c}") for c in names]).collect()
-        n = sum(r[1] for r in stats)
+        stats = plain.groupBy(F.col("y").cast("double").alias("y")).agg(
+            F.count("*").alias("n"), F.array(*[F.count(F.when(F.col(c) > threshold, 1)) for c in names]).alias("present"))
+        n = plain.count()
+        share = F.transform("present", lambda k: (k + F.lit(alpha)) / (F.col("n") + F.lit(2 * alpha)))
+        logs = F.transform("share", lambda s: F.struct(F.log(s).alias("yes"), F.log(1 - s).alias("no")))
+        classes = stats.withColumn("share", share).select("y", F.log(F.col("n") / F.lit(n)).alias("constant"), logs.alias("logs"))
 
         def predict(df: DataFrame) -> DataFrame:
-            x = vector_to_array("features")
-            logs = {}
-            for row in stats:
-                total = F.lit(math.log(row[1] / n))
-                for i in range(len(names)):
-                    share = (row[2 + i] + alpha) / (row[1] + 2 * alpha)
-                    total = total + F.when(F.get(x, F.lit(i)) > threshold, math.log(share)).otherwise(math.log(1 - share))
-                logs[float(row[0])] = total
-            return _choose(df, logs)
+            return choose(df, classes, vector_to_array("features"), lambda c, x: c["constant"] + total(
+                F.zip_with(x, c["logs"], lambda v, e: F.when(v > threshold, e["yes"]).otherwise(e["no"]))), 2 * len(names))
 
         return predict
 
@@ -220,48 +223,45 @@ def discriminant(pooled: bool) -> Fit:
 
     def fit(train: DataFrame) -> Predict:
         plain, names = unpack(train, extra=["y"])
-        classes = by_class(plain, names)
-        n = sum(m.n for m in classes.values())
+        d = len(names)
+        stats = class_statistics(plain, names)
+        # the pooled covariance is d x d numbers, whatever the number of classes
+        row = stats.agg(F.sum("n"), F.count("*"), *[F.sum(F.get("cov", F.lit(i)) * F.col("n")) for i in range(d * (d + 1) // 2)]).first()
+        n, shared = row[0], square(row[2:], d) / max(1, row[0] - row[1])
+        prior = F.log(F.col("n") / F.lit(n))
         if pooled:
-            shared = sum(m.cov * m.n for m in classes.values()) / (n - len(classes))
-            covs = {c: shared for c in classes}
-        else:
-            covs = {c: m.cov * m.n / (m.n - 1) for c, m in classes.items()}
-        labels = np.array(list(classes))
-        means = [classes[c].mean for c in labels]
-        inverses = [np.linalg.pinv(covs[c]) for c in labels]
-        constants = [math.log(classes[c].n / n) - 0.5 * np.linalg.slogdet(covs[c])[1] for c in labels]
-        one = int(np.flatnonzero(labels == 1.0)[0]) if 1.0 in labels else None
-
-        @F.pandas_udf("yhat double, score double")
-        def decide(vectors: pd.Series) -> pd.DataFrame:
-            if not len(vectors):
-                return pd.DataFrame({"yhat": pd.Series(dtype=float), "score": pd.Series(dtype=float)})
-            x = np.stack(vectors.to_numpy()).astype(float)
-            logs = np.stack([k - 0.5 * np.einsum("ij,jk,ik->i", x - m, inv, x - m)
-                             for m, inv, k in zip(means, inverses, constants)], axis=1)
-            shares = np.exp(logs - logs.max(axis=1, keepdims=True))
-            shares /= shares.sum(axis=1, keepdims=True)
-            score = shares[:, one] if one is not None else np.full(len(x), np.nan)
-            return pd.DataFrame({"yhat": labels[logs.argmax(axis=1)], "score": score})
+            rows, _ = whitening(shared)
 
-        def predict(df: DataFrame) -> DataFrame:
-            return df.withColumn("_d", decide(vector_to_array("features"))).select("*", "_d.yhat", "_d.score").drop("_d")
+            def turned(v: Column) -> Column:
+                return F.array(*[total(F.zip_with(v, F.array(*map(F.lit, r)), lambda a, b: a * b)) for r in rows.tolist()])
 
-        return predict
+            classes = stats.select("y", prior.alias("constant"), turned(F.col("mean")).alias("mean"))
+            return lambda df: choose(df, classes, turned(vector_to_array("features")),
+                                     lambda c, x: c["constant"] - squared_distance(x, c["mean"]) / 2, d + 1)
+        classes = whitened_classes(stats, d, shared).select("y", "mean", "rows", (prior - F.col("logdet") / 2).alias("constant"))
+
+        def log_score(c: Column, x: Column) -> Column:
+            off = F.zip_with(x, c["mean"], lambda a, b: a - b)
+            along = F.transform(c["rows"], lambda r: total(F.zip_with(r, off, lambda a, b: a * b)))
+            return c["constant"] - total(F.transform(along, lambda a: a * a)) / 2
+
+        return lambda df: choose(df, classes, vector_to_array("features"), log_score, d * (d + 1))
 
     return fit
 
 
-def knn(k: int = 5) -> Fit:
-    """Vote of the k nearest training rows; rows carry a unique ``row_id``.  The smaller class wins a tie."""
+def knn(k: int = 5, join: Join = knn_join) -> Fit:
+    """Vote of the k nearest training rows; rows carry a unique ``row_id``.  The smaller class wins a tie.
+
+    ``join`` finds the neighbours: exactly, or by hashing (``hashed_knn_join``).
+    """
 
     def fit(train: DataFrame) -> Predict:
         refs = train.select(F.col("row_id").alias("ref_id"), vector_to_array("features").alias("v"), F.col("y").alias("_vote"))
 
         def predict(df: DataFrame) -> DataFrame:
             asked = df.withColumn("_v", vector_to_array("features"))
-            near = knn_join(asked, refs, k, "row_id", "ref_id", "_v", "v").join(refs.select("ref_id", "_vote"), "ref_id")
+            near = join(asked, refs, k, "row_id", "ref_id", "_v", "v").join(refs.select("ref_id", "_vote"), "ref_id")
             # at most k votes per query
             votes = near.groupBy("query_id", "_vote").agg(F.count("*").alias("_n"))
             best = votes.groupBy("query_id").agg(
@@ -317,7 +317,3 @@ def adaboost(rounds: int = 50, learning_rate: float = 1.0, max_depth: int = 1, s
         return predict
 
     return fit
-
-
-def on_pipeline(stages: list, final: Estimator) -> Fit:
-    return from_estimator(Pipeline(stages=[*stages, final]))

@@ -6,7 +6,7 @@ Output: rows (series_id, ds, yhat) for the asked moments.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -77,16 +77,27 @@ def _roll_forward(phi: np.ndarray, recent: np.ndarray, level: float, horizon: in
 def seasonal(history: DataFrame, horizon: int, period: int = 12) -> DataFrame:
     """(1,1,1)(1,1,1,period) by two-stage least squares: residuals of a long autoregression stand in for the shocks.
 
-    One group per series at a fixed grain.  A series shorter than three periods continues at its last value.
+    One group per series at a fixed grain.  ``status`` says which model a series got: one with too few moments for the seasonal
+    equations is continued by ``autoregression``.
     """
+    kind = history.schema["series_id"].dataType.simpleString()
 
     def forecast(pdf: pd.DataFrame) -> pd.DataFrame:
         y = pdf.sort_values("ds")["y"].to_numpy(dtype=float)
         return pd.DataFrame({"series_id": pdf["series_id"].iloc[0], "step": np.arange(1, horizon + 1, dtype="int32"),
                              "yhat": _seasonal_values(y, horizon, period)})
 
-    return history.select("series_id", "ds", "y").groupBy("series_id").applyInPandas(
-        forecast, f"series_id {history.schema['series_id'].dataType.simpleString()}, step int, yhat double")
+    rows = history.select("series_id", "ds", "y")
+    enough = rows.groupBy("series_id").agg(F.count("*").alias("_n")).where(F.col("_n") >= least_moments(period)).select("series_id")
+    of_long = rows.join(enough, "series_id", "left_semi").groupBy("series_id").applyInPandas(forecast, f"series_id {kind}, step int, yhat double")
+    of_short = autoregression(rows.join(enough, "series_id", "left_anti"), horizon)
+    return of_long.withColumn("status", F.lit("seasonal")).unionByName(
+        of_short.select("series_id", "step", "yhat", F.lit("autoregression").alias("status")))
+
+
+def least_moments(period: int) -> int:
+    """Moments that the seasonal equations need: three periods, and more equations than unknowns."""
+    return max(3 * period + 3, 2 * period + 10)
 
 
 def _lagged(values: np.ndarray, at: Sequence[int], start: int) -> np.ndarray:
@@ -94,8 +105,6 @@ def _lagged(values: np.ndarray, at: Sequence[int], start: int) -> np.ndarray:
 
 
 def _seasonal_values(y: np.ndarray, horizon: int, period: int) -> np.ndarray:
-    if len(y) < 3 * period + 3:
-        return np.full(horizon, y[-1] if len(y) else np.nan)
     w = np.diff(y[period:] - y[:-period])
     long = min(period + 1, len(w) // 4)
     x = _lagged(w, range(1, long + 1), long)
@@ -103,8 +112,6 @@ def _seasonal_values(y: np.ndarray, horizon: int, period: int) -> np.ndarray:
     shocks = np.concatenate([np.zeros(long), w[long:] - x @ phi])
     at = [1, period, period + 1]
     start = max(at)
-    if len(w) - start < 2 * len(at) + 2:
-        return np.full(horizon, y[-1])
     both = np.hstack([_lagged(w, at, start), _lagged(shocks, at, start)])
     ridge = 1e-6 * np.trace(both.T @ both) / both.shape[1] * np.eye(both.shape[1])
     beta = np.linalg.solve(both.T @ both + ridge, both.T @ w[start:])
@@ -121,6 +128,7 @@ def _seasonal_values(y: np.ndarray, horizon: int, period: int) -> np.ndarray:
 
 # ---------------------------------------------------------------- trend and seasonality
 
+SERIES_IN_TASK = 256  # series whose products a task holds before it hands them on
 
 @dataclass(frozen=True)
 class Decomposition:
@@ -169,20 +177,46 @@ class Decomposition:
         """Facts and coefficients, one row per series each."""
         facts = self.facts(history)
         penalties = np.array([1.0 / scale**2 for _, _, scale in self.columns()])
+        d = len(penalties)
+        upper = np.triu_indices(d)
+        kind = history.schema["series_id"].dataType.simpleString()
+
+        def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            """The products of the design rows of every series, one row per series and task instead of one per moment."""
+            held: dict = {}
+
+            def handed() -> pd.DataFrame:
+                out = pd.DataFrame([(name, g[upper].tolist(), xy.tolist(), yy, n) for name, (g, xy, yy, n) in held.items()],
+                                   columns=["series_id", "gram", "xy", "yy", "n"])
+                held.clear()
+                return out
+
+            for batch in batches:
+                for name, rows in batch.groupby("series_id", sort=False, dropna=False):
+                    x, y = np.stack(rows["x"].to_numpy()), rows["y"].to_numpy(dtype=float)
+                    g, xy, yy, n = held.get(name, (0.0, 0.0, 0.0, 0))
+                    held[name] = g + x.T @ x, xy + x.T @ y, yy + float(y @ y), n + len(y)
+                if len(held) >= SERIES_IN_TASK:
+                    yield handed()
+            if held:
+                yield handed()
 
         def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-            x, y = np.stack(pdf["x"].to_numpy()), pdf["y"].to_numpy(dtype=float)
-            scale = float(np.abs(y).max()) or 1.0
-            gram, xy = x.T @ x, x.T @ (y / scale)
+            gram = np.zeros((d, d))
+            gram[upper] = np.sum(np.stack(pdf["gram"].to_numpy()), axis=0)
+            gram = gram + np.triu(gram, 1).T
+            xy, yy, n = np.sum(np.stack(pdf["xy"].to_numpy()), axis=0), float(pdf["yy"].sum()), int(pdf["n"].sum())
             noise = 1e-2
             for _ in range(3):  # noise level and ridge weights settle together
-                beta = np.linalg.solve(gram + np.diag(noise * penalties) + 1e-9 * np.eye(len(gram)), xy)
-                noise = max(float(np.mean((y / scale - x @ beta) ** 2)), 1e-8)
-            return pd.DataFrame({"series_id": [pdf["series_id"].iloc[0]], "beta": [(beta * scale).tolist()]})
+                beta = np.linalg.solve(gram + np.diag(noise * penalties) + 1e-9 * np.eye(d), xy)
+                noise = max((yy - 2 * float(beta @ xy) + float(beta @ gram @ beta)) / n, 1e-8)
+            return pd.DataFrame({"series_id": [pdf["series_id"].iloc[0]], "beta": [beta.tolist()]})
 
-        rows = self.design(history.filter(F.col("y").isNotNull()), facts).select("series_id", "x", "y")
-        schema = f"series_id {history.schema['series_id'].dataType.simpleString()}, beta array<double>"
-        return facts, materialize(rows.groupBy("series_id").applyInPandas(solve, schema))
+        rows = self.design(history.filter(F.col("y").isNotNull()), facts).select("series_id", "x", (F.col("y") / scale_of("_scale")).alias("y"))
+        parts = rows.mapInPandas(summed, f"series_id {kind}, gram array<double>, xy array<double>, yy double, n long")
+        betas = parts.groupBy("series_id").applyInPandas(solve, f"series_id {kind}, beta array<double>")
+        scaled = betas.join(facts.select("series_id", scale_of("_scale").alias("_by")), "series_id")
+        return facts, materialize(scaled.select("series_id", F.transform("beta", lambda b: b * F.col("_by")).alias("beta")))
 
     def predict(self, fitted: tuple[DataFrame, DataFrame], frame: DataFrame) -> DataFrame:
         """Adds ``yhat`` to the rows of ``frame``."""
@@ -192,6 +226,11 @@ class Decomposition:
         return self.design(frame, facts).join(betas, "series_id").withColumn("yhat", total).select(*frame.columns, "yhat")
 
 
+def scale_of(column: str) -> Column:
+    """A largest absolute value to divide by; 1 for a series of zeros."""
+    return F.when(F.col(column) > 0, F.col(column)).otherwise(1.0)
+
+
 def _seconds(ds: str) -> Column:
     """Seconds since 1970 of a date or timestamp without time zone, as a double; the session zone plays no part."""
     moment = F.col(ds).cast("timestamp_ntz")

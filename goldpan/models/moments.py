@@ -1,4 +1,4 @@
-"""Means and covariances of features, per class where asked: one aggregation, a bounded result on the driver."""
+"""Means and covariances of features: one aggregation, d x d numbers on the driver."""
 
 from __future__ import annotations
 
@@ -10,8 +10,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_CLASSES = 1000
-
 
 @dataclass(frozen=True)
 class Moments:
@@ -43,11 +41,3 @@ def _moments(row: Sequence, d: int) -> Moments:
 
 def overall(df: DataFrame, names: Sequence[str]) -> Moments:
     return _moments(df.agg(*[e.alias(f"e{i}") for i, e in enumerate(_entries(names))]).first(), len(names))
-
-
-def by_class(df: DataFrame, names: Sequence[str], label: str = "y") -> dict[float, Moments]:
-    """Moments per class; covariances are updated in the map tasks, so a frequent class is no bottleneck."""
-    rows = df.groupBy(label).agg(*[e.alias(f"e{i}") for i, e in enumerate(_entries(names))]).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} values: not a class label")
-    return {float(r[0]): _moments(r[1:], len(names)) for r in sorted(rows)}

@@ -6,10 +6,11 @@ import ast
 from collections.abc import Callable, Mapping
 from typing import Any
 
-from goldpan.models import classifiers, regressors
+from goldpan.models import anomaly, classifiers, regressors
+from goldpan.models.anomaly import Detector
 from goldpan.models.base import Fit
 
-Factory = Callable[..., Fit]
+Factory = Callable[..., Fit | Detector]
 
 # fixed values: the model names of evaluation configurations
 CLASSIFIERS: dict[str, Factory] = {
@@ -50,8 +51,14 @@ REGRESSORS: dict[str, Factory] = {
     "CatBoost": lambda **p: regressors.boosting("symmetric", **p),
 }
 
+ANOMALY: dict[str, Factory] = {
+    "Isolation Forest": anomaly.forest_detector,
+    "Local Outlier Factor": anomaly.neighbour_detector,
+    "Elliptic Envelope": anomaly.envelope_detector,
+}
+
 TIME_SERIES = ("ARIMA", "SARIMA", "Prophet")
-MODELS: dict[str, Mapping[str, Factory]] = {"classification": CLASSIFIERS, "regression": REGRESSORS}
+MODELS: dict[str, Mapping[str, Factory]] = {"classification": CLASSIFIERS, "regression": REGRESSORS, "anomaly-detection": ANOMALY}
 
 # fixed values: parameter names of configured constructors -> ours
 _TREE = {"max_depth": "max_depth", "random_state": "seed"}
@@ -70,7 +77,8 @@ PARAMETERS: dict[str, dict[str, dict[str, str]]] = {
         "SVC (RBF Kernel)": {"C": "c", "max_iter": "max_iter", "n_components": "components", "random_state": "seed"},
         "SVC (Linear Kernel)": {"C": "c", "max_iter": "max_iter"},
         "K-Nearest Neighbors": {"n_neighbors": "k"},
-        "MLP Classifier (Neural Net)": {"hidden_layer_sizes": "hidden", "max_iter": "max_iter", "random_state": "seed"},
+        "MLP Classifier (Neural Net)": {"hidden_layer_sizes": "hidden", "max_iter": "max_iter", "random_state": "seed", "early_stopping": "early_stopping",
+                                        "validation_fraction": "validation", "n_iter_no_change": "patience", "tol": "tolerance"},
         "Gaussian Naive Bayes": {"var_smoothing": "smoothing"},
         "Bernoulli Naive Bayes": {"binarize": "threshold", "alpha": "alpha"},
     },
@@ -91,6 +99,11 @@ PARAMETERS: dict[str, dict[str, dict[str, str]]] = {
         "LightGBM": _BOOSTING,
         "CatBoost": {"iterations": "maxIter", "depth": "maxDepth", "learning_rate": "stepSize", "subsample": "subsamplingRate", "random_seed": "seed"},
     },
+    "anomaly-detection": {
+        "Isolation Forest": {"n_estimators": "trees", "random_state": "seed"},
+        "Local Outlier Factor": {"n_neighbors": "k"},
+        "Elliptic Envelope": {"contamination": "contamination", "support_fraction": "support"},
+    },
 }
 
 # They change no prediction, or are part of what the name stands for: all scores are probabilities, fits end at their own tolerance.
@@ -98,7 +111,6 @@ NO_EFFECT = {"verbose", "verbosity", "silent", "n_jobs", "probability"}
 STANDS_FOR: dict[str, dict[str, Any]] = {
     "SVC (RBF Kernel)": {"kernel": "rbf"}, "SVC (Linear Kernel)": {"kernel": "linear"},
     "SVR (RBF Kernel)": {"kernel": "rbf"}, "SVR (Linear Kernel)": {"kernel": "linear"},
-    "MLP Classifier (Neural Net)": {"early_stopping": True},
 }
 
 
@@ -122,7 +134,7 @@ def translated(problem: str, name: str, literals: Mapping[str, Any]) -> dict[str
     return {known[k]: v for k, v in literals.items() if k in known and v is not None}
 
 
-def build(problem: str, name: str, given: str | Mapping[str, Any] | None = None) -> Fit:
+def build(problem: str, name: str, given: str | Mapping[str, Any] | None = None) -> Fit | Detector:
     """The model ``name`` with parameters given as a mapping of ours or as a configured constructor text."""
     if problem not in MODELS:
         raise ValueError(f"unknown problem type {problem!r}; known: {sorted(MODELS)}")

@@ -19,7 +19,7 @@ from pyspark.sql.types import DoubleType
 from goldpan.models.base import Fit, Predict, from_estimator, no_score
 from goldpan.models.moments import overall, unpack
 from goldpan.operators.features import FourierMap
-from goldpan.operators.neighbors import knn_join
+from goldpan.operators.neighbors import Join, knn_join
 from goldpan.session import materialize
 
 CHECKPOINT_ROUNDS = 10
@@ -138,15 +138,15 @@ def bayesian_ridge(max_iter: int = 300, tolerance: float = 1e-3, prior: float =
     return fit
 
 
-def knn(k: int = 5) -> Fit:
-    """Mean of the k nearest training rows; rows carry a unique ``row_id``."""
+def knn(k: int = 5, join: Join = knn_join) -> Fit:
+    """Mean of the k nearest training rows, found by ``join``; rows carry a unique ``row_id``."""
 
     def fit(train: DataFrame) -> Predict:
         refs = train.select(F.col("row_id").alias("ref_id"), vector_to_array("features").alias("v"), F.col("y").alias("_target"))
 
         def predict(df: DataFrame) -> DataFrame:
             asked = df.withColumn("_v", vector_to_array("features"))
-            near = knn_join(asked, refs, k, "row_id", "ref_id", "_v", "v").join(refs.select("ref_id", "_target"), "ref_id")
+            near = join(asked, refs, k, "row_id", "ref_id", "_v", "v").join(refs.select("ref_id", "_target"), "ref_id")
             means = near.groupBy(F.col("query_id").alias("row_id")).agg(F.avg("_target").alias("yhat"))
             return df.join(means, "row_id").withColumn("score", no_score())
 

@@ -12,23 +12,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml import Model
 from pyspark.ml.feature import (
     PCA,
-    OneHotEncoder,
     PolynomialExpansion,
-    StringIndexer,
     UnivariateFeatureSelector,
     VarianceThresholdSelector,
     VectorAssembler,
-    VectorSlicer,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldpan.functions.hashing import digest
-from goldpan.operators.ordering import positional_values
+from goldpan.operators.quantiles import exact_quantiles
 
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
@@ -66,10 +63,8 @@ def fit_minmax(df: DataFrame, columns: Sequence[str]) -> LinearScale:
 
 
 def fit_robust(df: DataFrame, columns: Sequence[str]) -> LinearScale:
-    """Median and interquartile range, exact, without sorting a column in one task."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
-    long_form = df.select(F.explode(pairs).alias("e")).select("e.*")
-    q = positional_values(long_form, "name", "value", (0.25, 0.5, 0.75))
+    """Median and interquartile range, exact, without moving or sorting the rows."""
+    q = exact_quantiles(df, columns, (0.25, 0.5, 0.75))
     return LinearScale(tuple(columns), tuple(q[c][0.5] for c in columns), tuple(q[c][0.75] - q[c][0.25] for c in columns))
 
 
@@ -109,19 +104,6 @@ def onehot_minimum_fraction(df: DataFrame, column: str, minimum_fraction: float,
     return df.withColumns({**flags, f"{prefix}other": rare.cast("int")})
 
 
-def onehot_stage(column: str, output: str) -> Pipeline:
-    """The same encoding as a pipeline stage for a column that has been pooled already."""
-    return Pipeline(stages=[
-        StringIndexer(inputCol=column, outputCol=f"{output}_ix", handleInvalid="keep"),
-        OneHotEncoder(inputCol=f"{output}_ix", outputCol=output, dropLast=False),
-    ])
-
-
-def pool_rare(df: DataFrame, column: str, minimum_fraction: float, other: str = "other") -> DataFrame:
-    kept = frequent_values(df, column, minimum_fraction)
-    return df.withColumn(column, F.when(F.col(column).isin(kept), F.col(column)).otherwise(other))
-
-
 def polynomial(degree: int = 2, source: str = "features", output: str = "poly") -> PolynomialExpansion:
     return PolynomialExpansion(degree=degree, inputCol=source, outputCol=output)
 
@@ -154,29 +136,6 @@ def importances(model: Model) -> np.ndarray:
     return np.abs(np.asarray(model.coefficients.toArray()))
 
 
-def select_from_model(df: DataFrame, estimator: Estimator, threshold: float | None = None,
-                      source: str = "features", output: str = "selected") -> tuple[DataFrame, list[int]]:
-    """Keep the features whose importance reaches the threshold (default: the mean importance)."""
-    weights = importances(estimator.fit(df))
-    bar = float(weights.mean()) if threshold is None else threshold
-    kept = [int(i) for i in np.flatnonzero(weights >= bar)] or [int(weights.argmax())]
-    return VectorSlicer(inputCol=source, outputCol=output, indices=kept).transform(df), kept
-
-
-def eliminate_features(df: DataFrame, estimator: Estimator, keep: int, step: float = 0.5,
-                       source: str = "features", output: str = "selected") -> tuple[DataFrame, list[int]]:
-    """Recursive elimination: refit and drop the weakest ``step`` share until ``keep`` features are left."""
-    active = list(range(df.select(F.size(vector_to_array(source))).first()[0]))
-    while True:
-        sliced = VectorSlicer(inputCol=source, outputCol=output, indices=active).transform(df)
-        if len(active) <= keep:
-            return sliced, active
-        weights = importances(estimator.copy({estimator.featuresCol: output}).fit(sliced))
-        drop = min(len(active) - keep, max(1, int(step * len(active)))) if step < 1 else min(len(active) - keep, int(step))
-        weakest = set(np.argsort(weights, kind="stable")[:drop].tolist())
-        active = [f for i, f in enumerate(active) if i not in weakest]
-
-
 def map_vectors(df: DataFrame, function: Callable[[np.ndarray], np.ndarray], source: str, output: str) -> DataFrame:
     """A dense vector map as matrix products over Arrow batches.
 
@@ -220,7 +179,10 @@ class NystroemMap:
     def fit(cls, df: DataFrame, keys: Sequence[str], components: int, gamma: float, source: str = "features", seed: int = 42) -> NystroemMap:
         # the landmark sample is the method itself; its size is fixed by ``components``
         drawn = df.select(vector_to_array(source), *keys).orderBy(digest(seed, keys)).limit(components).collect()
-        marks = np.unique(np.array([r[0] for r in drawn]), axis=0)
+        return cls.at(np.unique(np.array([r[0] for r in drawn]), axis=0), gamma)
+
+    @classmethod
+    def at(cls, marks: np.ndarray, gamma: float) -> NystroemMap:
         squared = ((marks[:, None, :] - marks[None, :, :]) ** 2).sum(axis=2)
         u, s, vt = np.linalg.svd(np.exp(-gamma * squared))
         return cls(marks, (u / np.sqrt(np.maximum(s, 1e-12))) @ vt, gamma)
@@ -233,20 +195,3 @@ class NystroemMap:
             return np.exp(-gamma * np.maximum(squared, 0)) @ whitening.T
 
         return map_vectors(df, kernel, source, output)
-
-
-def stack_prediction(df: DataFrame, inner: Estimator, source: str = "features", output: str = "stacked") -> DataFrame:
-    """The prediction (and, if there is one, the probability) of an inner model becomes a feature."""
-    renamed = {inner.predictionCol: "_inner"}
-    extra = ["_inner"]
-    for name in ("probabilityCol", "rawPredictionCol"):
-        if inner.hasParam(name):
-            renamed[inner.getParam(name)] = f"_{name}"
-    if inner.hasParam("probabilityCol"):
-        extra.append("_probabilityCol")
-    predicted = inner.copy(renamed).fit(df).transform(df)
-    return VectorAssembler(inputCols=[source, *extra], outputCol=output).transform(predicted).drop(*renamed.values())
-
-
-def fitted(stages: Sequence[Transformer | Estimator], df: DataFrame) -> PipelineModel:
-    return Pipeline(stages=list(stages)).fit(df)

@@ -1,26 +1,32 @@
-"""Exact k-nearest-neighbour join without a cross join.
+"""k-nearest-neighbour joins without a cross join: an exact one, and one by hashing.
 
-Every vector is assigned to its nearest pivot.  Triangle inequalities on the pivot distances give, for each cell of
+``knn_join`` is exact.  Every vector is assigned to its nearest pivot.  Triangle inequalities on the pivot distances give, for each cell of
 query vectors, an upper bound on the k-th neighbour distance and from it the shells of reference vectors that can
 still matter.  Only those are sent to the cell, cut into blocks of bounded size, and each pair of blocks returns its
 k best per query.  Equal vectors are represented once on the query side and by their k+1 smallest ids on the
 reference side, so a large group of copies costs one vector, and the answer stays exact.
+
+``hashed_knn_join`` compares a query only with the cells it falls into, or nearly falls into, in several hash tables.  A vector
+has as many copies as there are tables, whatever the number of rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldpan.operators.ordering import top_per_group
 from goldpan.session import materialize
 
-MAX_PIVOTS = 256
+MAX_PIVOTS = 256  # default of a parameter: the shells are a table of pivots x pivots
 BLOCK_ROWS = 2048
+Join = Callable[..., DataFrame]  # a join with the arguments of ``knn_join``
 SLACK = 1e-8  # room for rounding in the pruning bounds; wider than the rounding of distances
 
 
@@ -95,6 +101,7 @@ def knn_join(
     ref_vector: str,
     exclude_self: bool = False,
     block_rows: int = BLOCK_ROWS,
+    max_pivots: int = MAX_PIVOTS,
 ) -> DataFrame:
     """Columns query_id, ref_id, distance, rank: the ``k`` nearest reference rows of every query row.
 
@@ -102,21 +109,17 @@ def knn_join(
     Ids are integers.
     """
     depth = k + 1 if exclude_self else k
-    q_all = queries.select(F.col(query_id).cast("long").alias("qid"), F.col(query_vector).cast("array<double>").alias("v"))
-    r_all = refs.select(F.col(ref_id).cast("long").alias("rid"), F.col(ref_vector).cast("array<double>").alias("v"))
-    q = materialize(q_all.groupBy("v").agg(F.min("qid").alias("qid")))
-    r = materialize(top_per_group(r_all, ["v"], [F.col("rid")], depth, "_copy").drop("_copy"))
+    q_all, q, r = _distinct_vectors(queries, refs, depth, query_id, ref_id, query_vector, ref_vector)
 
     n_refs = r.count()
-    n_pivots = int(min(MAX_PIVOTS, max(1, round(n_refs**0.5 / 2))))
-    drawn = r.select("v").orderBy(F.md5(F.col("rid").cast("string"))).limit(n_pivots).collect()  # bounded by MAX_PIVOTS
+    n_pivots = int(min(max_pivots, max(1, round(n_refs**0.5 / 2))))
+    drawn = r.select("v").orderBy(F.md5(F.col("rid").cast("string"))).limit(n_pivots).collect()  # bounded by max_pivots
     if not drawn:
-        return q_all.select(F.col("qid").alias("query_id"), F.lit(None).cast("long").alias("ref_id"),
-                            F.lit(None).cast("double").alias("distance"), F.lit(None).cast("int").alias("rank")).limit(0)
+        return _no_answers(q_all)
     pivots = np.unique(np.array([row[0] for row in drawn], dtype=float), axis=0)
     q, r = materialize(_assign(q, pivots)), materialize(_assign(r, pivots))
 
-    # per-cell facts: at most MAX_PIVOTS rows, and depth distances per cell
+    # per-cell facts: at most max_pivots rows, and depth distances per cell
     def cells(df: DataFrame) -> dict:
         rows = df.groupBy("cell").agg(F.count("*"), F.max("to_pivot")).collect()
         return {row[0]: (row[1], row[2]) for row in rows}
@@ -158,6 +161,26 @@ def knn_join(
     partial = asked.groupBy(*block).cogroup(candidates.groupBy(*block)).applyInPandas(
         _block_pairs(depth), "qid long, rid long, distance double")
     found = top_per_group(partial, ["qid"], [F.col("distance"), F.col("rid")], depth, "_rank")
+    return _answers(found, q, q_all, k, exclude_self)
+
+
+def _distinct_vectors(queries: DataFrame, refs: DataFrame, depth: int, query_id: str, ref_id: str, query_vector: str,
+                      ref_vector: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All queries, their distinct vectors (under the smallest id), and the ``depth`` smallest ids of every reference vector."""
+    q_all = queries.select(F.col(query_id).cast("long").alias("qid"), F.col(query_vector).cast("array<double>").alias("v"))
+    r_all = refs.select(F.col(ref_id).cast("long").alias("rid"), F.col(ref_vector).cast("array<double>").alias("v"))
+    q = materialize(q_all.groupBy("v").agg(F.min("qid").alias("qid")))
+    r = materialize(top_per_group(r_all, ["v"], [F.col("rid")], depth, "_copy").drop("_copy"))
+    return q_all, q, r
+
+
+def _no_answers(q_all: DataFrame) -> DataFrame:
+    return q_all.select(F.col("qid").alias("query_id"), F.lit(None).cast("long").alias("ref_id"),
+                        F.lit(None).cast("double").alias("distance"), F.lit(None).cast("int").alias("rank")).limit(0)
+
+
+def _answers(found: DataFrame, q: DataFrame, q_all: DataFrame, k: int, exclude_self: bool) -> DataFrame:
+    """The ranked finds of every distinct query vector, handed to every query with that vector."""
     # one list of at most k+1 entries per distinct vector, handed to every copy of it
     lists = found.groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("_rank", "rid", "distance"))).alias("found"))
     by_vector = q.select("qid", "v").join(lists, "qid").drop("qid")
@@ -168,3 +191,147 @@ def knn_join(
     return answers.select(
         F.col("qid").alias("query_id"), F.col("e.rid").alias("ref_id"), F.col("e.distance").alias("distance"),
         (F.col("_pos") + 1).alias("rank"))
+
+
+# ---------------------------------------------------------------- by hashing
+
+
+@dataclass(frozen=True)
+class Hashing:
+    """Settings of ``hashed_knn_join``: more ``tables`` and ``probes`` find more and cost more."""
+
+    tables: int = 8
+    probes: int = 24  # cells a query visits in each table besides its own
+    cell_rows: int = 512  # reference rows a cell should have
+    slabs: int = 16  # parts into which a hot cell is cut again
+    sample_rows: int = 4096
+    seed: int = 42
+
+
+@dataclass(frozen=True)
+class _Tables:
+    """One bit per random direction, cut at the median of a sample; one more direction per table for hot cells."""
+
+    directions: np.ndarray  # tables x bits x dimensions
+    medians: np.ndarray  # tables x bits
+    further: np.ndarray  # tables x dimensions
+
+    @classmethod
+    def draw(cls, sample: np.ndarray, bits: int, s: Hashing) -> _Tables:
+        rng = np.random.default_rng(s.seed)
+        directions = rng.standard_normal((s.tables, bits, sample.shape[1]))
+        further = rng.standard_normal((s.tables, sample.shape[1]))
+        return cls(directions, np.median(np.einsum("nd,tbd->tbn", sample, directions), axis=2), further)
+
+    def margins(self, table: int, x: np.ndarray) -> np.ndarray:
+        return x @ self.directions[table].T - self.medians[table]
+
+    @staticmethod
+    def cells(margins: np.ndarray) -> np.ndarray:
+        return (margins >= 0) @ (np.int64(1) << np.arange(margins.shape[1], dtype=np.int64))
+
+    @staticmethod
+    def probed(margins: np.ndarray, cells: np.ndarray, probes: int) -> np.ndarray:
+        """Every query's own cell and the ``probes`` cells reached across the nearest cuts."""
+        bits = min(10, margins.shape[1])
+        near = np.argsort(np.abs(margins), axis=1)[:, :bits]
+        cost = np.take_along_axis(margins, near, axis=1) ** 2
+        sets = [c for size in range(1, min(bits, 4) + 1) for c in combinations(range(bits), size)]
+        if not sets:
+            return cells[:, None]
+        member = np.array([[b in c for b in range(bits)] for c in sets])
+        best = np.argsort(cost @ member.T, axis=1, kind="stable")[:, :probes]
+        flips = np.einsum("qpb,qb->qp", member[best].astype(np.int64), np.int64(1) << near.astype(np.int64))
+        return np.concatenate([cells[:, None], cells[:, None] ^ flips], axis=1)
+
+
+def hashed_knn_join(
+    queries: DataFrame,
+    refs: DataFrame,
+    k: int,
+    query_id: str,
+    ref_id: str,
+    query_vector: str,
+    ref_vector: str,
+    exclude_self: bool = False,
+    block_rows: int = BLOCK_ROWS,
+    settings: Hashing = Hashing(),
+) -> DataFrame:
+    """As ``knn_join``, but a query is compared only with the reference rows of the cells it visits.
+
+    Distances are exact; neighbours in other cells are missed, and a query whose cells hold fewer than k rows gets fewer.  Cells have about
+    ``cell_rows`` rows, so their number grows with the rows.  A cell of several times as many is cut again, at its own quantiles along one
+    more direction, and a query visits the two parts nearest to it; what is still large then (copies of a projection) is compared in
+    blocks.  Every block returns its k best per query, so pairs are never shuffled.
+    """
+    s = settings
+    depth = k + 1 if exclude_self else k
+    q_all, q, r = _distinct_vectors(queries, refs, depth, query_id, ref_id, query_vector, ref_vector)
+    n_refs = r.count()
+    drawn = r.select("v").orderBy(F.md5(F.col("rid").cast("string"))).limit(s.sample_rows).collect()  # of bounded size
+    if not drawn:
+        return _no_answers(q_all)
+    bits = min(60, max(0, int(np.ceil(np.log2(n_refs / s.cell_rows)))))
+    tables = queries.sparkSession.sparkContext.broadcast(_Tables.draw(np.array([row[0] for row in drawn], dtype=float), bits, s))
+
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = np.stack(batch["v"].to_numpy()).astype(float) if len(batch) else np.empty((0, 1))
+            for t in range(s.tables if len(batch) else 0):
+                yield pd.DataFrame({"table": t, "cell": _Tables.cells(tables.value.margins(t, x)), "along": x @ tables.value.further[t],
+                                    "rid": batch["rid"], "v": batch["v"]})
+
+    def visiting(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = np.stack(batch["v"].to_numpy()).astype(float) if len(batch) else np.empty((0, 1))
+            for t in range(s.tables if len(batch) else 0):
+                margins = tables.value.margins(t, x)
+                cells = _Tables.probed(margins, _Tables.cells(margins), s.probes)
+                which = np.repeat(np.arange(len(x)), cells.shape[1])
+                yield pd.DataFrame({"table": t, "cell": cells.ravel(), "along": (x @ tables.value.further[t])[which],
+                                    "qid": batch["qid"].to_numpy()[which], "v": batch["v"].to_numpy()[which]})
+
+    spot = "table int, cell long, along double"
+    held = materialize(r.mapInPandas(placed, f"{spot}, rid long, v array<double>"))
+    visits = q.mapInPandas(visiting, f"{spot}, qid long, v array<double>")
+    # borders of the parts of hot cells; tables of cells stay tables, their number grows with the rows
+    parts = F.least(F.ceil(F.col("n") / F.lit(s.cell_rows)), F.lit(s.slabs)).cast("int")
+    fractions = [i / s.slabs for i in range(1, s.slabs)]
+    hot = held.groupBy("table", "cell").agg(F.count("*").alias("n"), F.percentile_approx("along", fractions, 1000).alias("q")).where(
+        F.col("n") > 2 * s.cell_rows).withColumn("parts", parts).select(
+        "table", "cell", F.transform(F.sequence(F.lit(1), F.col("parts") - 1),
+                                     lambda i: F.get("q", (i * s.slabs / F.col("parts")).cast("int") - 1)).alias("borders"))
+    borders = F.coalesce("borders", F.array().cast("array<double>"))
+    slab = F.size(F.filter("borders", lambda b: F.col("along") >= b))
+    in_slabs = materialize(held.join(hot, ["table", "cell"], "left").withColumn("borders", borders).withColumn("slab", slab).drop("borders", "along"))
+    # the second part to visit lies across the nearer border
+    below, above = F.get("borders", F.col("slab") - 1), F.get("borders", F.col("slab"))
+    nearer = F.when(above.isNull() & below.isNull(), F.array("slab")).when(
+        above.isNull() | (F.col("along") - below < above - F.col("along")), F.array(F.col("slab"), F.col("slab") - 1)).otherwise(
+        F.array(F.col("slab"), F.col("slab") + 1))
+    asked = visits.join(hot, ["table", "cell"], "left").withColumn("borders", borders).withColumn("slab", slab).withColumn(
+        "slab", F.explode(nearer)).drop("borders", "along")
+
+    place = ["table", "cell", "slab"]
+    asked = materialize(asked)
+    sizes = in_slabs.groupBy(*place).agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("r_blocks")).join(
+        asked.groupBy(*place).agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("q_blocks")), place)  # cells that meet a query
+    sizes = materialize(sizes)
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+
+    left = asked.join(sizes, place).select(*place, "qid", "v", F.pmod(F.xxhash64("qid"), "q_blocks").alias("q_block"), every("r_blocks").alias("r_block"))
+    right = in_slabs.join(sizes, place).select(*place, "rid", "v", F.pmod(F.xxhash64("rid"), "r_blocks").alias("r_block"), every("q_blocks").alias("q_block"))
+    block = [*place, "q_block", "r_block"]
+    partial = left.groupBy(*block).cogroup(right.groupBy(*block)).applyInPandas(_block_pairs(depth), "qid long, rid long, distance double")
+    # a row found in several tables has one rank
+    rank = F.dense_rank().over(Window.partitionBy("qid").orderBy("distance", "rid"))
+    found = partial.withColumn("_rank", rank).where(F.col("_rank") <= depth).distinct()
+    return _answers(found, q, q_all, k, exclude_self)
+
+
+def recall(found: DataFrame, truth: DataFrame) -> float:
+    """Share of the pairs of an exact join that another join has found as well."""
+    both = truth.select("query_id", "ref_id").join(found.select("query_id", "ref_id", F.lit(1).alias("_hit")), ["query_id", "ref_id"], "left")
+    return both.agg(F.count("_hit") / F.count("*")).first()[0]

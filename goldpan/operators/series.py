@@ -34,14 +34,28 @@ def _order(ds: str, *series: str):
     return Window.partitionBy(*series).orderBy(ds)
 
 
-def full_window_mean(value: Column, window, n: int) -> Column:
-    """Mean over exactly ``n`` non-null rows, null while the window is not full."""
-    return F.when(F.count(value).over(window) == n, F.sum(value).over(window) / n)
+def _window_means(df: DataFrame, value: str, n: int, name: str, groups: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Mean over exactly ``n`` non-null rows per group, null while the window is not full.
+
+    Groups are cut into blocks of ``n`` rows.  A window is the tail of one block and the head of the next, and both are running sums
+    inside their block.  So the cost of a row does not depend on ``n``, and nothing is subtracted that could cancel.
+    """
+    whole = Window.partitionBy(*groups)
+    block = Window.partitionBy(*groups, "_block")
+    upwards = block.orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    downwards = block.orderBy(F.desc("_at")).rowsBetween(Window.unboundedPreceding, 0)
+    placed = df.withColumn("_at", F.row_number().over(whole.orderBy(*order)).cast("long") - 1).withColumn("_block", F.floor(F.col("_at") / n))
+    summed = placed.withColumns({"_head": F.struct(F.sum(value).over(upwards).alias("s"), F.count(value).over(upwards).alias("n")),
+                                 "_tail": F.struct(F.sum(value).over(downwards).alias("s"), F.count(value).over(downwards).alias("n"))})
+    # of a row that ends a block the whole window is the head
+    before = summed.withColumn("_before", F.when(F.col("_at") % n != n - 1, F.lag("_tail", n - 1).over(whole.orderBy("_at"))))
+    known = F.col("_head.n") + F.coalesce("_before.n", F.lit(0))
+    total = F.col("_head.s") + F.coalesce("_before.s", F.lit(0))
+    return before.withColumn(name, F.when(known == n, total / n)).drop("_at", "_block", "_head", "_tail", "_before")
 
 
 def rolling_mean(df: DataFrame, value: str, n: int, name: str, series: str = "series_id", ds: str = "ds") -> DataFrame:
-    window = _order(ds, series).rowsBetween(-(n - 1), 0)
-    return df.withColumn(name, full_window_mean(F.col(value), window, n))
+    return _window_means(df, value, n, name, [series], [ds])
 
 
 def rolling_mean_long(
@@ -60,12 +74,8 @@ def rolling_mean_long(
         F.explode(F.when(offset >= chunk - (n - 1), F.array(F.col("_home"), F.col("_home") + 1))
                   .otherwise(F.array(F.col("_home")))),
     )
-    window = Window.partitionBy(*series, "_chunk").orderBy("_rn").rowsBetween(-(n - 1), 0)
-    return (
-        spread.withColumn(name, full_window_mean(F.col(value), window, n))
-        .filter(F.col("_chunk") == F.col("_home"))
-        .drop("_rn", "_home", "_chunk")
-    )
+    means = _window_means(spread, value, n, name, [*series, "_chunk"], ["_rn"])
+    return means.filter(F.col("_chunk") == F.col("_home")).drop("_rn", "_home", "_chunk")
 
 
 def backfill(value: str, series: str = "series_id", ds: str = "ds") -> Column:
@@ -127,6 +137,31 @@ def around_last(df: DataFrame, ends: DataFrame, days: int = 365, series: str = "
     )
 
 
+def inferred_steps(history: DataFrame, series: str = "series_id", ds: str = "ds") -> DataFrame:
+    """The most frequent distance between neighbouring moments of every series, as ``months``/``month_end`` or ``gap``.
+
+    Distances are counted in time and, where moments lie on the same day of the month or both at its end, in whole months; months win
+    a tie, then the shorter distance.  Series with fewer than two moments have no row.
+    """
+    moments = history.select(series, F.col(ds).cast("timestamp_ntz").alias("_at")).distinct()
+    pairs = moments.withColumn("_before", F.lag("_at").over(Window.partitionBy(series).orderBy("_at"))).where(F.col("_before").isNotNull())
+    at, before = F.col("_at"), F.col("_before")
+    day, day_before = F.to_date(at), F.to_date(before)
+    same_time = (at - day.cast("timestamp_ntz")) == (before - day_before.cast("timestamp_ntz"))
+    ends = (day == F.last_day(day)) & (day_before == F.last_day(day_before))
+    months = (F.year(at) - F.year(before)) * 12 + F.month(at) - F.month(before)
+    whole = same_time & (months > 0) & (ends | (F.dayofmonth(at) == F.dayofmonth(before)))
+    nothing = F.lit(None)
+    distances = F.array(
+        F.struct(nothing.cast("int").alias("months"), nothing.cast("boolean").alias("month_end"), (at - before).alias("gap")),
+        F.struct(F.when(whole, months).cast("int").alias("months"), F.when(whole, ends).alias("month_end"),
+                 nothing.cast("interval day to second").alias("gap")))
+    counted = pairs.select(series, F.explode(distances).alias("d")).where("d.months is not null or d.gap is not null").groupBy(
+        series, "d.months", "d.month_end", "d.gap").agg(F.count("*").alias("_n"))
+    first = Window.partitionBy(series).orderBy(F.desc("_n"), F.col("months").asc_nulls_last(), "gap", "month_end")
+    return counted.withColumn("_r", F.row_number().over(first)).where("_r = 1").drop("_r", "_n")
+
+
 def horizon(ends: DataFrame, periods: int, step: str = "interval 1 day", series: str = "series_id", ds: str = "ds") -> DataFrame:
     """``periods`` future moments after the end of every series."""
     one, last = F.expr(step), F.col("_last").cast("timestamp_ntz")
@@ -134,11 +169,26 @@ def horizon(ends: DataFrame, periods: int, step: str = "interval 1 day", series:
     return ends.select(series, F.explode(moments).alias(ds))
 
 
-def future_frame(history: DataFrame, periods: int, step: str = "interval 1 day", series: str = "series_id", ds: str = "ds") -> DataFrame:
-    """History moments followed by the horizon."""
+def inferred_horizon(ends: DataFrame, steps: DataFrame, periods: int, alone: str = "interval 1 day", series: str = "series_id", ds: str = "ds") -> DataFrame:
+    """``periods`` future moments at the inferred step of every series; one without a step goes on by ``alone``.
+
+    Months are counted from the last known moment, so a series on the 31st comes back to it after a shorter month.
+    """
+    last, k = F.col("_last").cast("timestamp_ntz"), F.col("_k")
+    moved = last + F.make_ym_interval(F.lit(0), F.col("months") * k)
+    to_end = F.make_dt_interval(F.datediff(F.last_day(F.to_date(moved)), F.to_date(moved)))
+    monthly = F.when(F.col("month_end"), moved + to_end).otherwise(moved)
+    regular = last + F.coalesce(F.col("gap"), F.expr(alone).cast("interval day to second")) * k
+    ahead = ends.join(steps, series, "left").withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(periods))))
+    return ahead.select(series, F.when(F.col("months").isNotNull(), monthly).otherwise(regular).alias(ds))
+
+
+def future_frame(history: DataFrame, periods: int, step: str | None = None, series: str = "series_id", ds: str = "ds") -> DataFrame:
+    """History moments followed by the horizon, at ``step`` or, without one, at the step of each series itself."""
     known = history.select(series, ds)
     kind = known.schema[ds].dataType.simpleString()
-    ahead = horizon(series_end(history, series, ds), periods, step, series, ds)
+    ends = series_end(history, series, ds)
+    ahead = horizon(ends, periods, step, series, ds) if step else inferred_horizon(ends, inferred_steps(history, series, ds), periods, series=series, ds=ds)
     return known.unionByName(ahead.withColumn(ds, F.col(ds).cast(kind)))
 
 

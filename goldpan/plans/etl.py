@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from graphlib import CycleError, TopologicalSorter
 
 from pyspark import inheritable_thread_target
@@ -15,7 +15,7 @@ from goldpan.session import apply_settings
 from goldpan.sources.lake import write_lake
 from goldpan.sources.readers import read_table
 
-PARALLEL_TABLES = 4  # tables of one level whose jobs are submitted at the same time
+PARALLEL_TABLES = 4  # tables whose jobs are submitted at the same time
 REPORT = "table string, level int, rows long, path string, status string, message string"
 
 
@@ -76,9 +76,17 @@ def run_pipeline(spark: SparkSession, config: Mapping, credentials: Mapping[str,
         except Exception as error:  # reported, and the tables behind it are skipped
             return name, level, None, path, "failed", f"{type(error).__name__}: {str(error).splitlines()[0]}"
 
+    levels = {name: level for level, names in enumerate(plan_levels(config)) for name in names}
+    work = inheritable_thread_target(spark)(run)
+    order = TopologicalSorter({name: set(table.get("dependencies") or []) for name, table in config["tables"].items()})
+    order.prepare()
+    running: dict[Future, str] = {}
     with ThreadPoolExecutor(PARALLEL_TABLES) as pool:
-        for level, names in enumerate(plan_levels(config)):
-            work = inheritable_thread_target(spark)(lambda name, level=level: run(name, level))
-            for row in pool.map(work, names):
-                report[row[0]] = row
+        while order.is_active():
+            # a table starts as soon as the last of its own inputs has ended, whatever else is still running
+            running |= {pool.submit(work, name, levels[name]): name for name in sorted(order.get_ready())}
+            ended, _ = wait(running, return_when=FIRST_COMPLETED)
+            for future in ended:
+                report[running[future]] = future.result()
+                order.done(running.pop(future))
     return spark.createDataFrame(list(report.values()), REPORT).orderBy("level", F.col("table"))

@@ -8,7 +8,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldpan.operators import features, split
+from goldpan.operators import features, split, stages
 from goldpan.queries.registry import query, table
 
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -115,6 +115,19 @@ def onehot_minfrac(spark, folder):
     return coded.select("p_partkey", kind.alias("kind"))
 
 
+@query("q_onehot_fitted", """
+    WITH parts AS (SELECT p_partkey, p_type, substr(md5('42|' || p_partkey), 1, 8) < '33333333' AS is_test FROM part),
+    kept AS (SELECT p_type FROM parts WHERE NOT is_test GROUP BY 1 HAVING count(*) >= 0.16 * (SELECT count(*) FROM parts WHERE NOT is_test)),
+    ranked AS (SELECT p_type, row_number() OVER (ORDER BY p_type) - 1 AS place FROM kept)
+    SELECT p_partkey, CAST(coalesce(place, (SELECT count(*) FROM kept)) AS BIGINT) AS place FROM parts LEFT JOIN ranked USING (p_type) WHERE is_test""")
+def onehot_fitted(spark, folder):
+    """Values frequent among the training rows, applied to the test rows: the place of the one in each vector."""
+    parts = split.holdout(table(spark, folder, "part").select("p_partkey", "p_type"), ["p_partkey"], 0.2, 42)
+    encoder = stages.FrequentOneHot(inputCol="p_type", outputCol="kind", minimumFraction=0.16).fit(parts.filter(~F.col("is_test")))
+    coded = encoder.transform(parts.filter("is_test"))
+    return coded.select("p_partkey", (F.array_position(vector_to_array("kind"), 1.0) - 1).alias("place"))
+
+
 @query("q_zero_count", f"""
     SELECT {', '.join(LINE_KEY)}, CAST((l_discount = 0)::INT + (l_tax = 0)::INT + (l_quantity = 0)::INT AS INTEGER) AS n_zero,
            CAST(3 - ((l_discount = 0)::INT + (l_tax = 0)::INT + (l_quantity = 0)::INT) AS INTEGER) AS n_nonzero FROM lineitem""")
@@ -151,20 +164,27 @@ def univariate_select(spark, folder):
     return spark.createDataFrame(kept, "mode string, feature string")
 
 
+def _parts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows."""
+    marked = split.holdout(df, LINE_KEY, 0.2, 42)
+    return marked.filter(~F.col("is_test")), marked.filter("is_test")
+
+
 @query("q_rfe")
 def rfe(spark, folder):
-    rows = features.assemble(priced_lines(spark, folder), PRICE_FEATURES)
-    forest = RandomForestRegressor(labelCol="y", numTrees=5, maxDepth=4, seed=42)
-    reduced, kept = features.eliminate_features(rows, forest, keep=2)
-    return spread(reduced, "selected", len(kept), LINE_KEY)
+    train, test = _parts(features.assemble(priced_lines(spark, folder), PRICE_FEATURES))
+    forest = RandomForestRegressor(labelCol="y", numTrees=100, maxDepth=5, seed=42)
+    fitted = stages.EliminateFeatures(inputCol="features", outputCol="selected", keep=2, inner=forest).fit(train)
+    return spread(fitted.transform(test), "selected", 2, LINE_KEY)
 
 
 @query("q_select_from_model")
 def select_from_model(spark, folder):
     rows = lines(spark, folder).withColumn("y", (F.col("l_returnflag") == "R").cast("double"))
-    rows = features.assemble(rows, LINE_FEATURES)
-    selected, kept = features.select_from_model(rows, RandomForestClassifier(labelCol="y", numTrees=5, maxDepth=4, seed=42))
-    return spread(selected, "selected", len(kept), LINE_KEY)
+    train, test = _parts(features.assemble(rows, LINE_FEATURES))
+    forest = RandomForestClassifier(labelCol="y", numTrees=100, maxDepth=5, seed=42)
+    fitted = stages.SelectByImportance(inputCol="features", outputCol="selected", inner=forest).fit(train)
+    return spread(fitted.transform(test), "selected", len(fitted.getOrDefault(fitted.places)), LINE_KEY)
 
 
 @query("q_pca")
@@ -202,8 +222,13 @@ def feature_union(spark, folder):
     return spread(features.union_features(branches, ["plain", "poly", "l_tax"]), "features", 8, LINE_KEY)
 
 
-@query("q_stacking")
+# the normal equations of charge on quantity, from the training rows
+@query("q_stacking", f"""
+    WITH marked AS (SELECT {', '.join(LINE_KEY)}, l_quantity AS x, l_extendedprice * (1 - l_discount) * (1 + l_tax) AS y,
+                           substr(md5('42|' || {LINE_KEY_SQL}), 1, 8) < '33333333' AS is_test FROM lineitem),
+    line AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM marked WHERE NOT is_test)
+    SELECT {', '.join(LINE_KEY)}, round(x, 4) AS f0, round(a * x + b, 4) AS f1 FROM marked, line WHERE is_test""")
 def stacking(spark, folder):
-    rows = features.assemble(priced_lines(spark, folder), PRICE_FEATURES)
-    stacked = features.stack_prediction(rows, LinearRegression(labelCol="y", solver="normal"))
-    return spread(stacked, "stacked", 6, LINE_KEY)
+    train, test = _parts(features.assemble(priced_lines(spark, folder), ["l_quantity"]))
+    inner = LinearRegression(labelCol="y", solver="normal")
+    return spread(stages.StackedPrediction(inputCol="features", outputCol="stacked", inner=inner).fit(train).transform(test), "stacked", 2, LINE_KEY)

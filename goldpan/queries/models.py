@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldpan.evaluation import harness, metrics
-from goldpan.models import anomaly, classifiers, regressors
+from goldpan.models import anomaly, classifiers, regressors, registry
 from goldpan.models.base import Fit
 from goldpan.operators import features, neighbors, split
 from goldpan.plans import search
@@ -67,18 +67,24 @@ def _regressor(name: str, build) -> None:
     query(name)(lambda spark, folder: _judge_regressor(spark, folder, build()))
 
 
-# rounds and tree counts are reduced so that one query is one short fit; the registry holds the configured sizes
-_classifier("q_clf_logistic", lambda: classifiers.logistic(500))
-_classifier("q_clf_ridge", classifiers.ridge)
-_classifier("q_clf_tree", lambda: classifiers.tree(8))
-_classifier("q_clf_forest", lambda: classifiers.forest(20, 8))
-_classifier("q_clf_gbt", lambda: classifiers.boosting(10))
-_classifier("q_clf_adaboost", lambda: classifiers.adaboost(5))
-_classifier("q_clf_bagging", lambda: classifiers.bagging(10, 8))
-_classifier("q_clf_rff_svc", lambda: classifiers.rff_svc(50, max_iter=8))
-_classifier("q_clf_linear_svc", lambda: classifiers.linear_svc(max_iter=8))
-_classifier("q_clf_mlp", lambda: classifiers.mlp((50, 50), 30))
+def _registered(name: str) -> Fit:
+    """A classifier with the sizes of the registry."""
+    return registry.build("classification", name)
 
+
+_classifier("q_clf_logistic", lambda: _registered("Logistic Regression"))
+_classifier("q_clf_ridge", lambda: _registered("Ridge Classifier"))
+_classifier("q_clf_tree", lambda: _registered("Decision Tree"))
+_classifier("q_clf_forest", lambda: _registered("Random Forest"))
+_classifier("q_clf_gbt", lambda: _registered("Gradient Boosting"))
+_classifier("q_clf_adaboost", lambda: _registered("AdaBoost"))
+_classifier("q_clf_bagging", lambda: _registered("Bagging Classifier"))
+_classifier("q_clf_rff_svc", lambda: _registered("SVC (RBF Kernel)"))
+_classifier("q_clf_linear_svc", lambda: _registered("SVC (Linear Kernel)"))
+_classifier("q_clf_mlp", lambda: registry.build("classification", "MLP Classifier (Neural Net)",
+                                                "MLPClassifier(hidden_layer_sizes=(50, 50), max_iter=500, early_stopping=True)"))
+
+# regressors on all lines: rounds, trees and depths are reduced, see the README
 _regressor("q_reg_linear", regressors.linear)
 _regressor("q_reg_ridge", regressors.ridge)
 _regressor("q_reg_ridge_cv", lambda: regressors.cross_validated((0.001, 1.0), 0.0, FOLDS))
@@ -184,6 +190,13 @@ def knn_join(spark, folder):
     return near.select("query_id", "ref_id", F.round("distance", 6).alias("distance"))
 
 
+@query("q_knn_join_hashed")
+def knn_join_hashed(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    near = neighbors.hashed_knn_join(vectors, vectors, 5, "vec_id", "vec_id", "embedding", "embedding", exclude_self=True)
+    return near.select("query_id", "ref_id", F.round("distance", 6).alias("distance"))
+
+
 _TEST_VEC, _TRAIN_VEC = ("substr(md5('42|' || q.vec_id), 1, 8) < '33333333'", "substr(md5('42|' || r.vec_id), 1, 8) >= '33333333'")
 
 
@@ -258,13 +271,25 @@ def anom_iforest(spark, folder):
 
 @query("q_eval_classification")
 def eval_classification(spark, folder):
-    models = {"Logistic Regression": "LogisticRegression(max_iter=500)", "Ridge Classifier": "RidgeClassifier()", "Gaussian Naive Bayes": "GaussianNB()",
-              "Decision Tree": {"max_depth": 5}, "Linear Discriminant Analysis": "LinearDiscriminantAnalysis()"}
-    rows = labeled_documents(spark, folder)
-    board, _ = harness.evaluate_classification(rows, TEXT_FEATURES, models, ["row_id"], runs=2)
+    """Every classifier of the registry at its sizes, five runs: one row per model and run."""
+    rows = materialize(labeled_documents(spark, folder))  # the texts are read once
+    board, _ = harness.evaluate_classification(rows, TEXT_FEATURES, dict.fromkeys(registry.CLASSIFIERS), ["row_id"], runs=5)
     return board
 
 
+@query("q_eval_anomaly")
+def eval_anomaly(spark, folder):
+    """Every configured detector; the one without a counterpart here is reported as failed."""
+    parts = table(spark, folder, "part").select(
+        "p_partkey", F.col("p_size").cast("double").alias("size"), F.length("p_name").cast("double").alias("name_length"), "p_retailprice")
+    models = {"Isolation Forest": "IsolationForest()", "One-Class SVM": "OneClassSVM()", "Local Outlier Factor": "LocalOutlierFactor()",
+              "Elliptic Envelope": "EllipticEnvelope()"}
+    flags, status = harness.evaluate(parts, "anomaly-detection", {"anomaly-detection": {"models": models}}, ["size", "name_length", "p_retailprice"],
+                                     ["p_partkey"])
+    return status.select("model", "status").join(flags.groupBy("model").agg(
+        F.count("*").alias("rows"), F.count_if("is_outlier").alias("outliers")), "model", "left")
+
+
 @query("q_eval_regression")
 def eval_regression(spark, folder):
     models = {"Linear Regression": "LinearRegression()", "Ridge Regression": "Ridge()", "Decision Tree": {"max_depth": 5}, "Bayesian Ridge": "BayesianRidge()"}

@@ -170,14 +170,14 @@ _FUTURE_SQL = f"""
 
 @query("q_future_frame", f"{_FUTURE_SQL} SELECT series_id, strftime(ds, '%Y-%m-%d') AS ds FROM frame")
 def future_frame(spark, folder):
-    return series.future_frame(stored_daily(spark, folder), 365).select("series_id", text())
+    return series.future_frame(stored_daily(spark, folder), 365, "interval 1 day").select("series_id", text())
 
 
 @query("q_left_join_future", f"""{_FUTURE_SQL}
     SELECT series_id, strftime(ds, '%Y-%m-%d') AS ds, cents, volume FROM frame LEFT JOIN daily USING (series_id, ds)""")
 def left_join_future(spark, folder):
     days = stored_daily(spark, folder)
-    joined = series.attach_regressors(series.future_frame(days, 365), days, ["cents", "volume"])
+    joined = series.attach_regressors(series.future_frame(days, 365, "interval 1 day"), days, ["cents", "volume"])
     return joined.select("series_id", text(), "cents", "volume")
 
 
@@ -208,3 +208,36 @@ def ts_lags(spark, folder):
 def ts_seasonal_diff(spark, folder):
     differenced = series.seasonal_difference(hourly(spark, folder), "cents", 12, "w")
     return differenced.select("series_id", hour_text().alias("ds"), "w")
+
+
+def mixed_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """(series_id, ds): hourly, daily and monthly series in one table."""
+    days = daily(spark, folder).select("series_id", "ds")
+    months = days.select(F.concat(F.lit("monthly "), "series_id").alias("series_id"), F.trunc("ds", "month").alias("ds")).distinct()
+    month_ends = months.select(F.concat(F.lit("end of "), "series_id").alias("series_id"), F.last_day("ds").alias("ds"))
+    at_midnight = days.unionByName(months).unionByName(month_ends).withColumn("ds", F.col("ds").cast("timestamp_ntz"))
+    return hourly(spark, folder).select("series_id", "ds").unionByName(at_midnight)
+
+
+@query("q_future_frame_inferred", f"""
+    WITH {DAILY_SQL}, {HOURLY_SQL},
+    months AS (SELECT DISTINCT 'monthly ' || series_id AS series_id, date_trunc('month', ds) AS ds FROM daily),
+    every AS (SELECT series_id, ds::TIMESTAMP AS ds FROM hourly UNION ALL SELECT series_id, ds::TIMESTAMP FROM daily
+              UNION ALL SELECT series_id, ds::TIMESTAMP FROM months UNION ALL SELECT 'end of ' || series_id, last_day(ds::DATE)::TIMESTAMP FROM months),
+    pairs AS (SELECT series_id, ds, lag(ds) OVER (PARTITION BY series_id ORDER BY ds) AS before FROM every),
+    kinds AS (SELECT *, (last_day(ds::DATE) = ds::DATE AND last_day(before::DATE) = before::DATE) AS ends,
+                     date_diff('month', before, ds) AS m FROM pairs WHERE before IS NOT NULL),
+    distances AS (SELECT series_id, NULL AS months, NULL AS ends, epoch(ds) - epoch(before) AS seconds FROM kinds
+                  UNION ALL SELECT series_id, m, ends, NULL FROM kinds
+                  WHERE m > 0 AND ds::TIME = before::TIME AND (ends OR day(ds) = day(before))),
+    steps AS (SELECT series_id, months, ends, seconds FROM distances GROUP BY ALL
+              QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY count(*) DESC, months NULLS LAST, seconds, ends) = 1),
+    last AS (SELECT series_id, max(ds) AS last FROM every GROUP BY 1),
+    ahead AS (SELECT series_id, CASE WHEN months IS NULL THEN last + to_seconds(k * seconds::BIGINT)
+                                     WHEN ends THEN last_day((last + to_months((k * months)::INTEGER))::DATE)::TIMESTAMP
+                                     ELSE last + to_months((k * months)::INTEGER) END AS ds
+              FROM last JOIN steps USING (series_id), (SELECT unnest(range(1, 49)) AS k))
+    SELECT series_id, strftime(ds, '%Y-%m-%d %H:%M:%S') AS ds FROM (SELECT * FROM every UNION ALL SELECT * FROM ahead)""")
+def future_frame_inferred(spark, folder):
+    frame = series.future_frame(materialize(mixed_steps(spark, folder)), 48)
+    return frame.select("series_id", F.substring(F.col("ds").cast("string"), 1, 19).alias("ds"))

@@ -2,50 +2,50 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BASENAME = "mapreduce.output.basename"  # Hadoop's key for the beginning of the names of written files
+
 
 def arrange(df: DataFrame, partitions: int | None, partition_by: Sequence[str], sorting: Sequence[str]) -> DataFrame:
-    """Distribute for a partitioned write, then sort inside the tasks.
+    """Distribute for a partitioned write, then sort inside the tasks; the source is read once.
 
-    Range partitioning on (partition columns, sort columns) keeps a file in one lake partition where possible and
-    still spreads a lake partition that holds most of the rows over several tasks.  The id of the input partition is
-    the last key, so that rows with equal keys can be separated too; it is the same on every re-execution.
+    Rows of a lake partition come together by hash.  The exchange is one that adaptive execution may rebalance by the sizes it has
+    measured: a lake partition that holds most of the rows is split over several tasks, small ones share a task.
     """
     keys = [F.col(c) for c in dict.fromkeys([*partition_by, *sorting])]
     if partitions:
-        spread = df.withColumn("_from", F.spark_partition_id())
-        df = spread.repartitionByRange(partitions, *keys, F.col("_from")).drop("_from")
+        df = df.hint("rebalance", partitions, *partition_by) if partition_by else df.repartition(partitions)
     return df.sortWithinPartitions(*keys) if keys else df
 
 
-def stored_rows(spark: SparkSession, file_format: str, path: str) -> int:
-    """Rows below a lake path; a count without columns is answered from the file footers of columnar formats."""
-    try:
-        return spark.read.format(file_format).load(path).count()
-    except AnalysisException:  # nothing is stored there yet
-        return 0
+def written_rows(spark: SparkSession, file_format: str, path: str, basename: str) -> int:
+    """Rows in the files of one write, told by their names; other files are not opened, columnar ones are counted by their footers."""
+    stored = spark.read.format(file_format).load(path)
+    return stored.where(F.col("_metadata.file_name").startswith(basename)).count()
 
 
 def write_lake(df: DataFrame, destination: Mapping, sorting: Sequence[str] = (), partitions: int | None = None) -> int:
-    """Write as configured (format, mode, compression, partition columns) and return by how many rows the target grew.
+    """Write as configured (format, mode, compression, partition columns) and return how many rows this write has committed.
 
-    The rows are counted where they were stored.  An observed metric would be cheaper by one listing, but a session
-    that has used one can no longer ship Spark ML models with training summaries to its tasks.
+    The files of a write carry a name of their own, so what other writers add at the same time is not counted.  An observed metric would
+    need no second look, but a session that has used one can no longer ship Spark ML models with training summaries to its tasks.
     """
     partition_by = destination.get("partitionBy") or []
     file_format, path = destination["file_format"], destination["path"]
     mode = destination.get("mode") or "errorifexists"
-    before = 0 if mode == "overwrite" else stored_rows(df.sparkSession, file_format, path)
-    writer = arrange(df, partitions, partition_by, sorting).write.format(file_format).mode(mode)
+    basename = f"part-{uuid.uuid4().hex}"
+    writer = arrange(df, partitions, partition_by, sorting).write.format(file_format).mode(mode).option(BASENAME, basename)
     if destination.get("compression"):
         writer = writer.option("compression", destination["compression"])
     writer.partitionBy(*partition_by).save(path)
-    return stored_rows(df.sparkSession, file_format, path) - before
+    # an empty write leaves nothing from which a format without a schema of its own could be read
+    return 0 if df.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"{basename}*").load(
+        path).select("path").isEmpty() else written_rows(df.sparkSession, file_format, path, basename)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:

@@ -1,8 +1,6 @@
 import numpy as np
 import pytest
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from goldpan.operators import features
@@ -36,15 +34,6 @@ def test_rare_values_are_pooled(spark):
     assert features.frequent_values(df, "k", 0.3) == ["x", "y"]
     coded = features.onehot_minimum_fraction(df, "k", 0.3)
     assert [tuple(r) for r in coded.agg(F.sum("is_x"), F.sum("is_y"), F.sum("is_other")).collect()] == [(6, 3, 1)]
-    assert features.pool_rare(df, "k", 0.3).filter("k = 'other'").count() == 1
-
-
-def test_elimination_and_selection_keep_the_signal(rows):
-    df = features.assemble(rows, ["b", "a", "c"])
-    forest = RandomForestClassifier(labelCol="y", numTrees=5, maxDepth=3, seed=1)
-    reduced, kept = features.eliminate_features(df, forest, keep=1)
-    assert kept == [1] and vectors(reduced, "selected").shape == (300, 1)
-    assert 1 in features.select_from_model(df, forest)[1]
 
 
 def test_kernel_maps_approximate_the_kernel(rows):
@@ -57,12 +46,6 @@ def test_kernel_maps_approximate_the_kernel(rows):
     assert np.abs(n @ n.T - exact).max() < 1e-3
 
 
-def test_stacking_adds_the_inner_prediction(rows):
-    df = features.assemble(rows, ["a", "b"])
-    assert vectors(features.stack_prediction(df, LinearRegression(labelCol="y")), "stacked").shape == (300, 3)
-    assert vectors(features.stack_prediction(df, RandomForestClassifier(labelCol="y", numTrees=2)), "stacked").shape == (300, 5)
-
-
 def test_other_stages(rows):
     df = features.assemble(rows, ["a", "b", "c"])
     assert vectors(features.variance_selector(0.01).fit(df).transform(df), "selected").shape == (300, 2)
@@ -72,4 +55,3 @@ def test_other_stages(rows):
     assert 0 in chosen
     counts = features.zero_counts(features.binarize(rows, ["a", "b"], 0.0), ["a", "b"])
     assert counts.filter("n_zero + n_nonzero <> 2").count() == 0
-    assert features.fitted([features.polynomial(2), features.pca(2, "poly")], df).transform(df).count() == 300

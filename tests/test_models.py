@@ -112,6 +112,8 @@ def test_evaluation_reports_failures_and_ranks(classes):
     assert [(r["rank"], r["model"]) for r in board.collect()] == [(1, "Linear Discriminant Analysis"), (2, "Linear Discriminant Analysis")]
     assert {(r["model"], r["status"]) for r in status.collect()} == {("Linear Discriminant Analysis", "ok"), ("Perceptron", "failed"), ("broken", "failed")}
     with pytest.raises(ValueError, match="invalid problem type"):
+        harness.evaluate(df, "clustering", config)
+    with pytest.raises(ValueError, match="not configured"):
         harness.evaluate(df, "anomaly-detection", config)
     with pytest.raises(ValueError, match="date column"):
         harness.evaluate(df, "time-series", {"time-series": {"Golden Score": {"MAE": 1.0}, "models": {}}})
@@ -192,3 +194,113 @@ def test_stage_usage(spark):
     out = {r["stage"]: tuple(r)[1:] for r in search.stage_usage(df).collect()}
     assert out == {"A": (2, 3, 2, 0.9), "B": (2, 2, 1, 0.1)}
     assert [r["depth"] for r in search.nesting(df).collect()] == [2, 2, 1]
+
+
+def test_trend_and_seasons_equal_a_fit_on_the_whole_design(spark):
+    """Products summed per task and merged give what one task with all design rows gives."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for name in ("a", "b", "c", "zero"):
+        for i in range(150):
+            y = None if i % 17 == 3 else 0.0 if name == "zero" else 50 + 0.3 * i + 5 * np.sin(i / 3) + rng.normal()
+            rows.append((name, i, y, float(rng.normal())))
+    df = spark.createDataFrame(rows, "series_id string, i int, y double, r double").selectExpr(
+        "series_id", "date_add(date'2024-01-01', i) AS ds", "y", "r").repartition(5)
+    model = forecast.Decomposition(changepoints=5, yearly=2, regressors=("r",))
+    facts, betas = model.fit(df)
+    design = model.design(df.where("y is not null"), facts).toPandas()
+    penalties = np.array([1.0 / s**2 for _, _, s in model.columns()])
+    for name, found in {r["series_id"]: r["beta"] for r in betas.collect()}.items():
+        own = design[design["series_id"] == name]
+        x, y = np.stack(own["x"]), own["y"].to_numpy()
+        scale = np.abs(y).max() or 1.0
+        noise = 1e-2
+        for _ in range(3):
+            beta = np.linalg.solve(x.T @ x + np.diag(noise * penalties) + 1e-9 * np.eye(x.shape[1]), x.T @ (y / scale))
+            noise = max(float(np.mean((y / scale - x @ beta) ** 2)), 1e-8)
+        assert np.allclose(x @ np.array(found), x @ beta * scale, rtol=1e-6, atol=1e-6)
+
+
+def test_trend_and_seasons_shuffle_no_design_rows(spark):
+    import io
+    from contextlib import redirect_stdout
+
+    df = spark.createDataFrame([("a", i, float(i)) for i in range(50)], "series_id string, i int, y double").selectExpr(
+        "series_id", "date_add(date'2024-01-01', i) AS ds", "y")
+    model = forecast.Decomposition(changepoints=3, yearly=1)
+    plans = []
+    kept = forecast.materialize
+    forecast.materialize = lambda d: plans.append(d) or kept(d)
+    try:
+        model.fit(df)
+    finally:
+        forecast.materialize = kept
+    out = io.StringIO()
+    with redirect_stdout(out):
+        plans[0].explain("formatted")
+    text = out.getvalue()
+    for part in text.split("\n\n"):
+        if ") Exchange" in part:
+            given = part[part.index("Input ["):]
+            assert " x#" not in given and "[x#" not in given
+
+
+def test_short_series_continue_by_autoregression_and_say_so(spark):
+    rows = [("long", i, 10 + i + 3 * np.sin(i * np.pi / 6)) for i in range(80)] + [("short", i, 5.0 + 2 * i) for i in range(20)] + [("one", 0, 7.0)]
+    df = spark.createDataFrame([(s, i, float(y)) for s, i, y in rows], "series_id string, ds int, y double")
+    out = forecast.seasonal(df, 4)
+    assert {r[0]: r[1] for r in out.select("series_id", "status").distinct().collect()} == {
+        "long": "seasonal", "short": "autoregression", "one": "autoregression"}
+    short = [r["yhat"] for r in out.where("series_id = 'short'").orderBy("step").collect()]
+    assert np.allclose(short, [45, 47, 49, 51])
+    assert [r["yhat"] for r in out.where("series_id = 'one'").collect()] == [7.0] * 4
+
+
+def test_series_without_both_parts_are_reported(spark):
+    rows = [("a", i, float(i % 7)) for i in range(60)] + [("b", 0, 1.0)]
+    df = spark.createDataFrame(rows, "series_id string, ds int, y double")
+    _, status = harness.evaluate_time_series(df, ["ARIMA"])
+    found = [tuple(r) for r in status.collect()]
+    assert ("time-series", "ARIMA", 0, "ok", None) in found and any("series b" in (r[4] or "") and r[3] == "skipped" for r in found)
+
+
+def test_rows_without_a_prediction_count_nowhere(spark):
+    from goldpan.evaluation import metrics
+
+    df = spark.createDataFrame([("g", 1.0, 1.5), ("g", 2.0, 2.0), ("g", 99.0, None)], "part string, y double, yhat double")
+    row = metrics.regression_metrics(df, ["part"]).first()
+    assert row["test_mse"] == pytest.approx(0.125) and row["test_r2"] == pytest.approx(0.5)
+
+
+def test_anomaly_detection_by_configuration(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, *map(float, rng.normal(size=2))) for i in range(200)] + [(999, 12.0, -12.0)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    config = {"anomaly-detection": {"models": {
+        "Isolation Forest": "IsolationForest(n_estimators=20)", "One-Class SVM": "OneClassSVM()", "Local Outlier Factor": "LocalOutlierFactor(n_neighbors=10)",
+        "Elliptic Envelope": "EllipticEnvelope(contamination=0.05)", "Wrong": "Wrong(x=1)"}}}
+    flags, status = harness.evaluate(df, "anomaly-detection", config, ["a", "b"], ["id"])
+    assert {r["model"]: r["status"] for r in status.collect()} == {
+        "Isolation Forest": "ok", "One-Class SVM": "failed", "Local Outlier Factor": "ok", "Elliptic Envelope": "ok", "Wrong": "failed"}
+    found = flags.toPandas()
+    assert len(found) == 3 * 201
+    for _, own in found.groupby("model"):
+        assert own.loc[own["score"].idxmax(), "row_id"] == 999 and own.set_index("row_id").loc[999, "is_outlier"]
+    with pytest.raises(ValueError, match="one key column"):
+        harness.evaluate(df, "anomaly-detection", config, ["a", "b"])
+
+
+def test_early_stopping_ends_the_fit_and_keeps_the_best_weights(classes, monkeypatch):
+    train, test = classes.filter("not is_test"), classes.filter("is_test")
+    rounds = []
+    original = classifiers.MultilayerPerceptronClassifier
+
+    def counted(**options):
+        rounds.append(options["maxIter"])
+        return original(**options)
+
+    monkeypatch.setattr(classifiers, "MultilayerPerceptronClassifier", counted)
+    fit = registry.build("classification", "MLP Classifier (Neural Net)", "MLPClassifier(hidden_layer_sizes=(5,), max_iter=500, early_stopping=True)")
+    out = fit(train)(test)
+    assert out.where("y = yhat").count() > 0.8 * test.count()
+    assert 1 < len(rounds) < 20 and set(rounds) == {10}

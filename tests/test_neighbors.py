@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
 
-from goldpan.operators.neighbors import knn_join
+from goldpan.operators import neighbors
+from goldpan.operators.neighbors import Hashing, hashed_knn_join, knn_join, recall
 
 
 def brute(queries, refs, k, exclude_self):
@@ -45,3 +46,71 @@ def test_fewer_references_than_k_and_foreign_queries(spark):
     got = found(knn_join(asked, refs, 5, "q", "id", "w", "v"))
     assert [r for _, r in got[10]] == [1, 2] and [r for _, r in got[11]] == [2, 1]
     assert knn_join(asked, refs.limit(0), 5, "q", "id", "w", "v").count() == 0
+
+
+def mixture(n, seed=1, d=6):
+    rng = np.random.default_rng(seed)
+    centres = rng.uniform(-20, 20, size=(60, d))
+    x = centres[rng.integers(0, 60, n)] + rng.normal(size=(n, d))
+    return [(i, [float(v) for v in row]) for i, row in enumerate(x)]
+
+
+@pytest.mark.parametrize("settings", [Hashing(cell_rows=64), Hashing(tables=4, cell_rows=400, slabs=4)])
+def test_hashed_join_finds_most_of_what_the_exact_one_finds(spark, settings):
+    df = spark.createDataFrame(mixture(4000), "id long, v array<double>").repartition(4)
+    exact = knn_join(df, df, 5, "id", "id", "v", "v", exclude_self=True).cache()
+    hashed = hashed_knn_join(df, df, 5, "id", "id", "v", "v", exclude_self=True, settings=settings).cache()
+    assert recall(hashed, exact) >= 0.9
+    assert hashed.groupBy("query_id", "ref_id").count().where("count > 1").count() == 0
+    both = hashed.join(exact.withColumnRenamed("distance", "exactly"), ["query_id", "ref_id"])
+    assert both.where("abs(distance - exactly) > 1e-9").count() == 0
+
+
+def test_copies_of_a_vector_do_not_depend_on_the_number_of_rows(spark):
+    """What is laid against queries: every vector once per table, whether there are 1,500 or 6,000."""
+    settings = Hashing(tables=5, cell_rows=64)
+    for n in (1500, 6000):
+        sample = np.array([v for _, v in mixture(n)])
+        bits = int(np.ceil(np.log2(n / settings.cell_rows)))
+        tables = neighbors._Tables.draw(sample, bits, settings)
+        sizes = []
+        for t in range(settings.tables):
+            margins = tables.margins(t, sample)
+            cells = tables.cells(margins)
+            assert cells.shape == (n,)  # one cell of the table
+            visited = tables.probed(margins, cells, settings.probes)
+            assert visited.shape[1] <= 1 + settings.probes and (visited[:, 0] == cells).all()
+            assert all(len(set(row)) == len(row) for row in visited[:50].tolist())
+            sizes.append(np.bincount(cells, minlength=2**bits).mean())
+        assert max(sizes) <= settings.cell_rows
+
+
+def test_hot_cells_and_copies(spark):
+    """Half of the rows lie in one narrow ball, a sixth are one vector: small blocks, results as by brute force in the ball."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(600, 3)) * 0.01 + 4, np.zeros((200, 3)), rng.uniform(-50, 50, size=(400, 3))])
+    points = [(int(i), [float(v) for v in row]) for i, row in enumerate(x)]
+    df = spark.createDataFrame(points, "id long, v array<double>").repartition(3)
+    settings = Hashing(tables=6, probes=12, cell_rows=64, slabs=8)
+    got = found(hashed_knn_join(df, df, 4, "id", "id", "v", "v", True, block_rows=128, settings=settings))
+    expected = brute(points, points, 4, True)
+    hits = sum(len({r for _, r in got.get(q, [])} & {r for _, r in expected[q]}) for q in expected)
+    assert hits >= 0.9 * 4 * len(points)
+    assert [r for _, r in got[700]] == [600, 601, 602, 603]
+    assert hashed_knn_join(df, df.limit(0), 4, "id", "id", "v", "v").count() == 0
+
+
+def test_models_take_the_join_as_an_argument(spark):
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+
+    from goldpan.models import anomaly, classifiers, regressors
+
+    df = spark.createDataFrame(mixture(800), "row_id long, v array<double>")
+    rows = df.select("row_id", array_to_vector("v").alias("features"), (F.get("v", F.lit(0)) > 0).cast("double").alias("y")).cache()
+    train, test = rows.where("row_id % 4 > 0"), rows.where("row_id % 4 = 0")
+    for fit in (classifiers.knn(5, join=hashed_knn_join), regressors.knn(5, join=hashed_knn_join)):
+        out = fit(train)(test)
+        assert out.where("abs(yhat - y) < 0.5").count() >= 190
+    scores = anomaly.local_outlier_factor(df, 10, join=hashed_knn_join)
+    assert scores.count() == 800 and scores.where("lof < 2").count() > 700

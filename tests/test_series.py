@@ -2,6 +2,7 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from goldpan.operators import series
@@ -75,3 +76,53 @@ def test_backfill_of_a_long_series_is_linear(spark):
     df = spark.range(n).select(F.lit("s").alias("series_id"), F.col("id").alias("ds"), F.when(F.col("id") % 100_000 == 99_999, F.col("id")).alias("v"))
     filled = df.withColumn("b", series.backfill("v")).agg(F.min(F.col("b") - F.col("ds")), F.max(F.col("b") - F.col("ds")), F.count("b")).first()
     assert tuple(filled) == (0, 99_999, n)
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 50])
+def test_rolling_mean_of_any_length_and_chunk(spark, n):
+    import numpy as np
+
+    rng = np.random.default_rng(n)
+    rows, expected = [], {}
+    for name, length in (("a", 90), ("b", 3), ("c", 49)):
+        y = [None if rng.random() < 0.1 and name == "a" else int(v) for v in rng.integers(-10**12, 10**12, length)]
+        rows += [(name, i, v) for i, v in enumerate(y)]
+        for i in range(length):
+            window = y[i - n + 1:i + 1] if i >= n - 1 else [None]
+            expected[name, i] = None if None in window else sum(window) / n
+    df = spark.createDataFrame(rows, "series_id string, ds int, y long").repartition(5)
+    found = {(r["series_id"], r["ds"]): r["m"] for r in series.rolling_mean(df, "y", n, "m").collect()}
+    assert found == expected
+    for chunk in (n, 13):
+        long = series.rolling_mean_long(df, "y", n, "m", ["series_id"], ["ds"], chunk=chunk)
+        assert {(r["series_id"], r["ds"]): r["m"] for r in long.collect()} == expected
+
+
+def test_inferred_steps(spark):
+    from datetime import datetime, timedelta
+
+    def months(year, month, day, count, every=1):
+        out = []
+        for k in range(count):
+            m = month - 1 + k * every
+            out.append(datetime(year + m // 12, m % 12 + 1, day))
+        return out
+
+    start = datetime(2023, 1, 1)
+    ends = [d - timedelta(days=1) for d in months(2023, 2, 1, 12)]
+    known = {
+        "hourly": [start + timedelta(hours=h) for h in (0, 1, 2, 3, 7, 8, 9)], "daily": [start + timedelta(days=d) for d in (0, 1, 2, 5, 6)],
+        "weekly": [start + timedelta(weeks=w) for w in range(6)], "monthly": months(2023, 1, 15, 5), "quarterly": months(2023, 1, 1, 5, 3),
+        "ends": ends, "odd": [start + timedelta(seconds=90 * k) for k in range(5)], "alone": [start]}
+    rows = [(name, d) for name, days in known.items() for d in days]
+    df = spark.createDataFrame(rows, "series_id string, ds timestamp_ntz").repartition(4)
+    frame = series.future_frame(df, 3)
+    ahead = {}
+    for r in frame.join(series.series_end(df), "series_id").where("ds > _last").orderBy("ds").collect():
+        ahead.setdefault(r["series_id"], []).append(r["ds"])
+    assert ahead == {
+        "hourly": [start + timedelta(hours=h) for h in (10, 11, 12)], "daily": [start + timedelta(days=d) for d in (7, 8, 9)],
+        "weekly": [start + timedelta(weeks=w) for w in (6, 7, 8)], "monthly": months(2023, 6, 15, 3), "quarterly": months(2024, 4, 1, 3, 3),
+        "ends": [datetime(2024, 1, 31), datetime(2024, 2, 29), datetime(2024, 3, 31)], "odd": [start + timedelta(seconds=90 * k) for k in (5, 6, 7)],
+        "alone": [start + timedelta(days=d) for d in (1, 2, 3)]}
+    assert frame.count() == len(rows) + 24
