@@ -32,14 +32,17 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the smallest id of every class of near duplicates; of rows that repeat this id one stays.
+    """One row of every class of near duplicates: the text with the smallest id, of rows that repeat it one.
 
-    Rows without an id, and rows without words, stay: they are in no class with others.
+    Rows that share an id but not their words are different texts; each is kept or goes with its own class.  Rows without an id, and rows
+    without words, stay: they are in no class with others.
     """
-    classes = neardup.near_duplicate_classes(docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()))
-    first = classes.where("doc_id = class_id").select(F.col("doc_id").alias("first")).distinct()
-    kept = docs.select(COLUMNS).join(first, F.col("doc_id") == F.col("first"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.select(COLUMNS).where(F.col("doc_id").isNull()))
+    firsts = neardup.class_firsts(docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()))
+    marked = docs.select(*COLUMNS, neardup.content_digest("text").alias("_content"))
+    alone = F.col("doc_id").isNull() | F.col("_content").isNull()
+    names = firsts.select(F.col("doc_id").alias("_first"), F.col("content").alias("_same"))
+    kept = marked.where(~alone).join(names, (F.col("doc_id") == F.col("_first")) & (F.col("_content") == F.col("_same")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_content"]).unionByName(marked.where(alone)).select(COLUMNS)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

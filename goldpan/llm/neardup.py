@@ -8,6 +8,7 @@ shingles in the same order: that follows the edit similarity, not only the sets.
 from __future__ import annotations
 
 import hashlib
+import math
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -15,8 +16,9 @@ from fractions import Fraction
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from goldpan.llm.components import components
 from goldpan.llm.shared import stored
@@ -25,7 +27,7 @@ from goldpan.llm.words import mixed, plain_words, run_hashes, word_hashes
 
 _SPREAD = np.uint64(0xE7037ED1A0B428DB)
 _HASHES_AT_ONCE = 1 << 16  # all sketches of a short text in one array; those of a long one in several
-_CELLS = 1 << 18  # counters that tell rare shingles from frequent ones; how many there are changes the work, not the result
+_SLICE_LETTERS = 1 << 20  # texts of so many letters are worked on at once
 
 
 @dataclass(frozen=True)
@@ -122,40 +124,11 @@ def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
     return len(tails) >= need
 
 
-def _in_cells(runs: np.ndarray) -> np.ndarray:
-    return runs.view(np.uint32) & np.uint32(_CELLS - 1)
-
-
-def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts = np.zeros(_CELLS, np.int64)
-    for batch in batches:
-        for runs in batch["runs"]:
-            np.add.at(counts, _in_cells(np.asarray(runs, np.int32)), 1)
-    used = np.flatnonzero(counts)
-    yield pd.DataFrame({"cell": used.astype(np.int32), "n": counts[used]})
-
-
-def prefix(runs: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray:
-    """The shingles, rarest first by ``counts`` and then by hash, of which two texts of similarity ``least`` have one in common.
-
-    All but that many of n shingles are fewer than the ``least`` x n that such texts share.
-    """
-    own = np.unique(runs)
-    return own[np.lexsort((own, counts[_in_cells(own)]))[:len(runs) - needed(len(runs), least) + 1]]
-
-
-def _prefixes(counts, s: Settings):
-    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [prefix(np.asarray(r, np.int32), counts.value, s.similarity) for r in batch["runs"]]
-            sizes = [len(f) for f in found]
-            yield pd.DataFrame({
-                "content": np.repeat(batch["content"].to_numpy(), sizes), "root": np.repeat(batch["root"].to_numpy(), sizes),
-                "size": np.repeat([len(r) for r in batch["runs"]], sizes).astype(np.int64),
-                "place": np.concatenate([np.arange(k, dtype=np.int64) for k in sizes] or [np.empty(0, np.int64)]),
-                "shingle": np.concatenate(found or [np.empty(0, np.int32)])})
-
-    return made
+def _slices(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """A batch in parts of bounded length, so that the arrays of a whole batch are never held together."""
+    part = np.cumsum([len(t) if t else 0 for t in batch["text"]]) // _SLICE_LETTERS
+    for k in np.unique(part):
+        yield batch[part == k]
 
 
 def _sketched(s: Settings):
@@ -166,9 +139,10 @@ def _sketched(s: Settings):
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [shingles(t, s.shingle_words) for t in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "content": pd.array([c for c, _ in found], dtype="Int64"),
-                                "prints": [keys(runs) for _, runs in found]})
+            for some in _slices(batch):
+                found = [shingles(t, s.shingle_words) for t in some["text"]]
+                yield pd.DataFrame({"id": some["id"], "content": pd.array([c for c, _ in found], dtype="Int64"),
+                                    "prints": [keys(runs) for _, runs in found]})
 
     return made
 
@@ -176,9 +150,10 @@ def _sketched(s: Settings):
 def _shingled(s: Settings):
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [shingles(t, s.shingle_words) for t in batch["text"]]
-            # 32 bits are enough to align two texts by
-            yield pd.DataFrame([(c, runs.astype(np.uint32).view(np.int32)) for c, runs in found if c is not None], columns=["content", "runs"])
+            for some in _slices(batch):
+                found = [shingles(t, s.shingle_words) for t in some["text"]]
+                # 32 bits are enough to align two texts by
+                yield pd.DataFrame([(c, runs.astype(np.uint32).view(np.int32)) for c, runs in found if c is not None], columns=["content", "runs"])
 
     return made
 
@@ -245,31 +220,47 @@ def relabelled(rows: DataFrame, moves: DataFrame) -> DataFrame:
     return rows.join(to, "root", "left").withColumn("root", F.coalesce("new_root", "root")).drop("new_root")
 
 
+def shared_prefixes(rows: DataFrame, s: Settings) -> DataFrame:
+    """The shingles by which the contents in ``rows`` (content, root, runs) can meet another class.
+
+    content, root, size, shingle and place.  Shingles that occur in one class alone come first and meet nothing, so only their number is
+    kept.  The others follow by the number of texts that have them, counted exactly, and then by hash.  Of n shingles all but the
+    least x n - 1 last ones are the prefix, which has one in common with that of every similar text.
+    """
+    p = Fraction(s.similarity).limit_denominator(1000)
+    size = F.size("runs").cast("long")
+    kept = size - F.ceil(size * F.lit(p.numerator) / F.lit(p.denominator)) + 1
+    entries = rows.withColumn("own", F.array_distinct("runs")).select(
+        "content", "root", size.alias("size"), kept.alias("kept"), F.size("own").alias("different"), F.explode("own").alias("shingle"))
+    several = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where(
+        "low != high").select("shingle", "n")
+    met = entries.join(several, "shingle")
+    # at most as many rows as the text has shingles
+    of_content = Window.partitionBy("content")
+    alone = F.col("different") - F.count(F.lit(1)).over(of_content)
+    place = alone + F.row_number().over(of_content.orderBy("n", "shingle")) - 1
+    return met.withColumn("place", place).where(F.col("place") < F.col("kept")).select("content", "root", "size", "shingle", "place")
+
+
 def open_links(front: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """All links (a, b: roots) between the contents of ``front`` that are in different classes; no pair is left out by a limit.
 
-    Prefix filter: two similar texts have a shingle in common among the rarest of each, and after the first such one enough are left of
-    both.  Classes are paired first, so texts of one class, however many, are never paired with each other.  Each pair is verified once.
+    Prefix filter: two similar texts have a shingle in common among the rarest of each, and from the first such one on enough are left of
+    both.  Texts whose lengths cannot be similar are in no common length class, so they do not meet.  Each pair is verified once.
     """
-    spark = front.sparkSession
-    rows = stored(front.select("content", "root").join(texts, "content"), "open")
-    counted = rows.select("runs").mapInPandas(_counted, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(_CELLS, np.int64)  # of fixed size, whatever the number of texts
-    counts[counted["cell"].to_numpy()] = counted["n"].to_numpy()
-    del counted
-    shared = spark.sparkContext.broadcast(counts)
-    placed = stored(rows.mapInPandas(_prefixes(shared, s), "content long, root long, size long, place long, shingle int"), "prefixes")
-    ends = placed.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("shingle")
-    placed = stored(placed.join(ends, "shingle"), "postings")
-    of_class = placed.select("shingle", "root").distinct()
-    met = of_class.select("shingle", F.col("root").alias("root_a")).join(
-        of_class.select("shingle", F.col("root").alias("root_b")), "shingle").where("root_a < root_b")
-    side = {x: placed.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("content", "root", "size", "place")]) for x in "ab"}
+    rows = front.select("content", "root").join(texts, "content")
+    placed = stored(shared_prefixes(rows, s), "prefixes")
     p = Fraction(s.similarity).limit_denominator(1000)
-    left = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+    # lengths that differ by less than the similarity allows lie in the same class or in neighbouring ones
+    grade = F.floor(F.log(F.col("size").cast("double")) / F.lit(-math.log(s.similarity)) + F.lit(1e-9)).cast("int")
+    graded = placed.withColumn("grade", grade)
+    left = graded.withColumn("grade", F.explode(F.array(F.col("grade") - 1, F.col("grade"), F.col("grade") + 1)))
+    side = {x: frame.select("shingle", "grade", *[F.col(c).alias(f"{c}_{x}") for c in ("content", "root", "size", "place")])
+            for x, frame in (("a", left), ("b", graded))}
+    rest = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
     pairs = (
-        met.join(side["a"], ["shingle", "root_a"]).join(side["b"], ["shingle", "root_b"])
-        .where(left * F.lit(p.numerator + p.denominator) >= (F.col("size_a") + F.col("size_b")) * F.lit(p.numerator))
+        side["a"].join(side["b"], ["shingle", "grade"])
+        .where((F.col("root_a") < F.col("root_b")) & (rest * F.lit(p.numerator + p.denominator) >= (F.col("size_a") + F.col("size_b")) * F.lit(p.numerator)))
         .select("content_a", "content_b", "root_a", "root_b").distinct()
     )
     return verified(stored(pairs, "pairs"), texts, s)
@@ -314,16 +305,18 @@ def linked_classes(contents: DataFrame, texts_of: Callable[[DataFrame], DataFram
         front = relabelled(front, moves[-1])
 
 
-def near_duplicate_classes(docs: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """id, ``class_id`` and ``class_size`` of every row; ``class_id`` is the smallest id of the class.
+def text_digest(text: str | None) -> int | None:
+    """The digest by which texts with the same words are one; null for a text without words."""
+    return shingles(text, 1)[0]
 
-    Two texts are linked if their shingle sequences, over lower-case words without punctuation, align with similarity of at least 0.8;
-    classes are what links connect.  Texts with the same words are one class member however often they occur.  Null, empty and blank
-    texts are linked to nothing: each is its own class, with its own id.  A class all of whose ids are null has the id null.  Repeated rows
-    give repeated results.  Other columns are not read.
-    """
-    s = settings
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+
+@F.pandas_udf(LongType())
+def content_digest(texts: pd.Series) -> pd.Series:
+    return pd.Series([text_digest(t) for t in texts], dtype="Int64")
+
+
+def _classified(rows: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """``prints`` (id, content) of all rows, and per content its smallest id, number of copies and class (root)."""
     prints = stored(rows.mapInPandas(_sketched(s), "id long, content long, prints array<long>"), "prints")
     contents = stored(
         prints.where(F.col("content").isNotNull()).groupBy("content")
@@ -337,6 +330,30 @@ def near_duplicate_classes(docs: DataFrame, settings: Settings = Settings(), id_
     per_content = contents.select("content", "first", "copies", F.col("content").alias("root"))
     for moved in linked_classes(contents.select("content", "prints"), texts_of, s):
         per_content = relabelled(per_content, moved)
+    return prints, per_content
+
+
+def class_firsts(docs: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """id and ``content`` (``content_digest``) of one text per class of near duplicates: the one with the smallest id, then digest.
+
+    Id and content together name a text, also where rows with different texts share an id.  Texts without words are in no class.
+    """
+    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+    _, per_content = _classified(rows, settings)
+    first = F.min(F.struct(F.col("first").isNull().alias("none"), "first", "content"))  # a null id comes last
+    return per_content.groupBy("root").agg(first.alias("f")).select(F.col("f.first").alias(id_column), "f.content")
+
+
+def near_duplicate_classes(docs: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """id, ``class_id`` and ``class_size`` of every row; ``class_id`` is the smallest id of the class.
+
+    Two texts are linked if their shingle sequences, over lower-case words without punctuation, align with similarity of at least 0.8;
+    classes are what links connect.  Texts with the same words are one class member however often they occur.  Null, empty and blank
+    texts are linked to nothing: each is its own class, with its own id.  A class all of whose ids are null has the id null.  Repeated rows
+    give repeated results.  Other columns are not read.
+    """
+    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+    prints, per_content = _classified(rows, settings)
     classes = per_content.groupBy("root").agg(F.min("first").alias("class_id"), F.sum("copies").alias("class_size"))
     labelled = per_content.join(classes, "root").select("content", "class_id", "class_size")
     alone = F.col("content").isNull()

@@ -67,3 +67,38 @@ def test_main_text_keeps_all_content():
     for start in ("<body>", "", "<br>"):
         assert main_text(f"<html><head><title>T</title>{start}<p>{LONG}</p>") == LONG
     assert main_text(f"<head><title>T</title>{LONG}") == LONG
+
+
+def test_prefixes_meet_wherever_texts_are_similar(spark):
+    """Texts that share common passages: exact counts put rare shingles first, lengths are graded, and no similar pair is lost."""
+    from pyspark.sql import functions as F
+
+    from goldpan.llm.shared import stored
+
+    rng = random.Random(9)
+    passages = [prose(300 + k, 60) for k in range(3)]
+    texts = []
+    for k in range(150):
+        body = f"{passages[k // 3 % 3]} {prose(2000 + k // 3, 5 + k // 3 * 7 % 50)}".split()
+        for _ in range(rng.randint(0, 3)):
+            body[rng.randrange(len(body))] = f"odd{rng.randrange(1000)}"
+        texts.append(" ".join(body))
+    runs = [neardup.shingles(t, 5)[1] for t in texts]
+    expected = {(i, j) for j in range(len(texts)) for i in range(j) if neardup.similar(runs[i], runs[j], 0.8)}
+    assert len(expected) > 30
+    shingled = stored(spark.createDataFrame([(i, r.astype("uint32").view("int32").tolist()) for i, r in enumerate(runs)], "content long, runs array<int>"), "t")
+    front = shingled.select("content", F.col("content").alias("root"))
+    found = {(min(r), max(r)) for r in neardup.open_links(front, shingled, neardup.Settings()).collect()}
+    assert found == expected
+    prefixes = neardup.shared_prefixes(front.join(shingled, "content"), neardup.Settings())
+    kept = {r["content"]: r["n"] for r in prefixes.groupBy("content").agg(F.count("*").alias("n")).collect()}
+    assert all(n <= len(runs[i]) - neardup.needed(len(runs[i]), 0.8) + 1 for i, n in kept.items())
+
+
+def test_pipeline_keeps_every_text_of_a_repeated_id(spark):
+    import corpus_pipeline
+
+    rows = [(1, prose(1, 60))] + [(i, prose(100 + i, 50)) for i in range(2, 12)] + [(i, prose(1, 60)) for i in range(2, 12)] + [(3, ""), (3, None), (None, prose(1, 60))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.without_near_duplicates(spark, docs, "").collect()]
+    assert sorted(kept, key=repr) == sorted(rows[:11] + rows[21:], key=repr)
