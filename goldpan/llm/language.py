@@ -49,8 +49,10 @@ class LanguageModel:
 
 
 def letters_only(text: str | None) -> str:
-    """Lower-case letters with single spaces around the words; empty if there is no letter."""
+    """Lower-case words with single spaces around them, without digits; empty if there is no letter (signs such as ½ or Ⅻ are none)."""
     cut = _NO_LETTERS.sub(" ", text.lower()).strip() if text else ""
+    if not cut.isascii() and not any(map(str.isalpha, cut)):
+        return ""
     return f" {cut} " if cut else ""
 
 
@@ -120,7 +122,9 @@ def fit_language_model(labelled: DataFrame, settings: Settings = Settings(), tex
     ``sample_rows`` of them; the driver gets the frequencies, the shard models and the kept-back logits, all of fixed size.
     """
     s = settings
-    rows = labelled.select((F.col(key) if isinstance(key, str) else key).cast("string").alias("k"), F.col(text).alias("t"), F.col(lang).alias("y"))
+    id_text = (F.col(key) if isinstance(key, str) else key).cast("string")
+    # rows that share an id, or have none, are told apart by their text
+    rows = labelled.select(F.concat_ws("|", id_text, F.xxhash64(F.col(text)).cast("string")).alias("k"), F.col(text).alias("t"), F.col(lang).alias("y"))
     rows = rows.where(F.col("y").isNotNull() & F.col("t").isNotNull())
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -141,11 +145,12 @@ def fit_language_model(labelled: DataFrame, settings: Settings = Settings(), tex
         return None
     idf = np.log((1 + n) / (1 + df[:-1])) + 1.0
 
-    sample = rows.where(uniform(s.seed, ["k"]) < min(1.0, s.sample_rows / n)).select(
+    # an equal part of the sample for every language, so that a rare one is learned from tables of any size
+    counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    languages = tuple(sorted(counts))
+    rates = F.create_map(*[F.lit(v) for y in languages for v in (y, min(1.0, s.sample_rows / len(languages) / counts[y]))])
+    sample = rows.where(uniform(s.seed, ["k"]) < F.element_at(rates, F.col("y"))).select(
         "t", "y", fold_of(s.seed + 1, ["k"], s.shards).alias("shard"), (uniform(s.seed + 2, ["k"]) < s.calibration_share).alias("kept"), "k")
-    languages = tuple(r["y"] for r in sample.select("y").distinct().orderBy("y").collect())
-    if not languages:
-        return None
     code = {y: i for i, y in enumerate(languages)}
 
     def shard_model(pdf: pd.DataFrame) -> pd.DataFrame:
