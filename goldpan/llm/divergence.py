@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,18 +28,21 @@ def terms(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_TABLE).split()
 
 
-def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial counts: lang, source, term, occurrences, documents; the empty term stands for the group itself."""
     held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
 
-    def handed() -> pd.DataFrame:
-        rows = [(*group, term.decode("utf-8", "surrogatepass"), count, docs[term]) for group, (n, docs) in held.items() for term, count in n.items()]
+    def handed() -> Iterator[pa.RecordBatch]:
+        for (lang, source), (n, docs) in held.items():
+            names, size = pa.array(n.keys(), pa.binary()).cast(pa.string()), len(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(lang, size), pa.repeat(source, size), names, pa.array(n.values(), pa.int64()), pa.array([docs[t] for t in n], pa.int64())],
+                names=["lang", "source", "term", "n", "docs"])
         held.clear()
-        return pd.DataFrame(rows, columns=["lang", "source", "term", "n", "docs"])
 
     entries = 0
     for batch in batches:
-        for lang, source, text in zip(batch["lang"], batch["source"], batch["text"], strict=True):
+        for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text")), strict=True):
             n, docs = held.setdefault((lang, source), (Counter(), Counter()))
             found = terms(text)
             entries -= len(n)
@@ -48,10 +52,9 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             docs[b""] += 1
             entries += len(n)
             if entries > _FLUSH:
-                yield handed()
+                yield from handed()
                 entries = 0
-    if held:
-        yield handed()
+    yield from handed()
 
 
 def scaled_share(count: np.ndarray, total: int) -> np.ndarray:
@@ -143,14 +146,18 @@ def source_divergence(docs: DataFrame, lang_column: str = "lang", source_column:
     """
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name)
                          for c, name in ((lang_column, "lang"), (source_column, "source"), (text_column, "text"))])
-    every = stored(rows.mapInPandas(_counted, "lang string, source string, term string, n long, docs long")
-                   .groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "counts")
+    # dealt by language and term once: counts per source, totals per language and the choice of terms all follow without moving rows
+    of_term = Window.partitionBy("lang", "term")
+    every = stored(
+        rows.mapInArrow(_counted, "lang string, source string, term string, n long, docs long").repartition("lang", "term")
+        .groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+        .withColumns({"lang_n": F.sum("n").over(of_term), "lang_docs": F.sum("docs").over(of_term)})
+        .where((F.col("term") == "") | (F.col("lang_docs") >= least_docs)).select("lang", "source", "term", "n", "lang_n"), "counts")
     counts = every.where("term != ''")
-    kept = stored(
-        counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n")).where(F.col("docs") >= least_docs)
-        .select("lang", "term", "lang_n", F.monotonically_increasing_id().alias("term_id")), "kept")
+    kept = stored(counts.groupBy("lang", "term").agg(F.max("lang_n").alias("lang_n")).select(
+        "lang", "term", "lang_n", F.monotonically_increasing_id().alias("term_id")), "kept")
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_total"))
-    own = stored(counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "term_id", "n", "lang_n"), "own")
+    own = stored(counts.join(kept.select("lang", "term", "term_id"), ["lang", "term"]), "own")
     member = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     groups = stored(
         every.where("term = ''").select("lang", "source").join(own.groupBy("lang", "source").agg(F.sum("n").alias("sum")), ["lang", "source"], "left")
