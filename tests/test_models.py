@@ -175,9 +175,9 @@ def test_search_is_repeatable_and_ranked(spark, classes):
     assert search.draw_candidates("classification", 6) == search.draw_candidates("classification", 6)
     assert len(set(search.draw_candidates("regression", 8))) == 8
     scored = search.search(classes.select("row_id", "features", "y"), "classification", ["row_id"], 2, 2)
-    assert scored[0][1] >= scored[1][1] and scored[0][1] > 0.8
+    assert [o.status for o in scored] == ["ok", "ok"] and scored[0].cv_mean >= scored[1].cv_mean and scored[0].cv_mean > 0.8
     table = search.ranking(spark, scored).collect()
-    assert table[0]["cv_mean"] == scored[0][1] and table[0]["depth"] == len(table[0]["stages"])
+    assert table[0]["cv_mean"] == scored[0].cv_mean and table[0]["depth"] == len(table[0]["stages"])
 
 
 def test_saved_pipeline_predicts_the_same(spark, classes, tmp_path):
