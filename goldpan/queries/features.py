@@ -200,10 +200,22 @@ def _scaled_vectors(spark, folder) -> DataFrame:
     return features.assemble(features.fit_standard(rows, LINE_FEATURES).transform(rows), LINE_FEATURES)
 
 
-@query("q_rff")
+def _fourier_sql(components: int, gamma: float) -> str:
+    """The drawn weights and phases as literals."""
+    drawn = features.FourierMap.draw(len(LINE_FEATURES), components, gamma)
+    stats = ", ".join(f"avg({c}) AS a_{c}, stddev_pop({c}) AS b_{c}" for c in LINE_FEATURES)
+    maps = []
+    for i, (w, b) in enumerate(zip(drawn.weights, drawn.phases, strict=True)):
+        turn = " + ".join(f"(({c} - a_{c}) / b_{c}) * ({float(v)!r})::DOUBLE" for c, v in zip(LINE_FEATURES, w, strict=True))
+        maps.append(f"round({(2.0 / components) ** 0.5!r}::DOUBLE * cos({turn} + ({float(b)!r})::DOUBLE), 4) + 0.0 AS f{i}")
+    return f"WITH s AS (SELECT {stats} FROM lineitem) SELECT {', '.join(LINE_KEY)}, {', '.join(maps)} FROM lineitem, s"
+
+
+@query("q_rff", _fourier_sql(16, 0.5))
 def rff(spark, folder):
     mapped = features.FourierMap.draw(len(LINE_FEATURES), 16, gamma=0.5).transform(_scaled_vectors(spark, folder))
-    return spread(mapped, "rff", 16, LINE_KEY)
+    rounded = spread(mapped, "rff", 16, LINE_KEY)
+    return rounded.select(*LINE_KEY, *[(F.col(f"f{i}") + 0.0).alias(f"f{i}") for i in range(16)])
 
 
 @query("q_nystroem")

@@ -230,8 +230,9 @@ def mixed_steps(spark: SparkSession, folder: str) -> DataFrame:
     distances AS (SELECT series_id, NULL AS months, NULL AS ends, epoch(ds) - epoch(before) AS seconds FROM kinds
                   UNION ALL SELECT series_id, m, ends, NULL FROM kinds
                   WHERE m > 0 AND ds::TIME = before::TIME AND (ends OR day(ds) = day(before))),
-    steps AS (SELECT series_id, months, ends, seconds FROM distances GROUP BY ALL
-              QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY count(*) DESC, months NULLS LAST, seconds, ends) = 1),
+    counted AS (SELECT series_id, months, ends, seconds, count(*) AS n FROM distances GROUP BY ALL),
+    steps AS (SELECT series_id, months, ends, seconds FROM counted
+              QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY n DESC, months NULLS LAST, seconds, ends) = 1),
     last AS (SELECT series_id, max(ds) AS last FROM every GROUP BY 1),
     ahead AS (SELECT series_id, CASE WHEN months IS NULL THEN last + to_seconds(k * seconds::BIGINT)
                                      WHEN ends THEN last_day((last + to_months((k * months)::INTEGER))::DATE)::TIMESTAMP
