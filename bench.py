@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -27,7 +28,8 @@ def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.sql.adaptive.enabled", "true")
-        .config("spark.driver.memory", "12g").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").getOrCreate()
+        .config("spark.driver.memory", "12g").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="bench-")).getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{folder}/lineitem.parquet").groupBy("l_returnflag").count().write.format("noop").mode("overwrite").save()

@@ -203,7 +203,7 @@ def test_trend_and_seasons_equal_a_fit_on_the_whole_design(spark):
     for name in ("a", "b", "c", "zero"):
         for i in range(150):
             y = None if i % 17 == 3 else 0.0 if name == "zero" else 50 + 0.3 * i + 5 * np.sin(i / 3) + rng.normal()
-            rows.append((name, i, y, float(rng.normal())))
+            rows.append((name, i, None if y is None else float(y), float(rng.normal())))
     df = spark.createDataFrame(rows, "series_id string, i int, y double, r double").selectExpr(
         "series_id", "date_add(date'2024-01-01', i) AS ds", "y", "r").repartition(5)
     model = forecast.Decomposition(changepoints=5, yearly=2, regressors=("r",))
