@@ -45,7 +45,7 @@ class Settings:
     partners: int = 4  # centres that a member is compared with in the first round
     # the same in later rounds, where few buckets are left and only members of the class with the greater root ask
     later_centres: int = 16
-    later_partners: int = 128
+    later_partners: int = 16
 
 
 def shingles(text: str | None, length: int) -> tuple[int | None, np.ndarray]:
