@@ -16,6 +16,13 @@ from goldpan.llm.shared import stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_CONFIDENCE = 0.5
+BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2_000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Rows hold whole texts, so fewer of them go to a Python worker at a time; memory matters here, results do not depend on it."""
+    if int(spark.conf.get(BATCH_KEY)) > BATCH_ROWS:
+        spark.conf.set(BATCH_KEY, str(BATCH_ROWS))
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,6 +30,7 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null, empty and letter-free texts go.  If no row has a language to learn from, rows with letters stay.
     """
+    _small_batches(spark)
     held_out = F.coalesce(crc_fold("doc_id", 3) == 1, F.lit(False))
     model = language.fit_language_model(docs.where(~held_out).select("doc_id", "text", "lang"))
     if model is None:
@@ -37,6 +45,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     Rows that share an id but not their words are different texts; each is kept or goes with its own class.  Rows without an id, and rows
     without words, stay: they are in no class with others.
     """
+    _small_batches(spark)
     firsts = neardup.class_firsts(docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()))
     marked = docs.select(*COLUMNS, neardup.content_digest("text").alias("_content"))
     alone = F.col("doc_id").isNull() | F.col("_content").isNull()
@@ -47,6 +56,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the windows that an earlier document has; a text that loses nothing keeps its layout, one that loses all goes."""
+    _small_batches(spark)
     cut = substrings.remove_repeated_passages(docs, carry=COLUMNS[1:])
     whole = F.col("n_removed") == 0
     return cut.where(whole | (F.col("kept_text") != "")).select(
@@ -56,6 +66,7 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold no benchmark item."""
+    _small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.find_leaks(docs, benchmark, carry=COLUMNS[1:]).where(~F.col("contaminated")).select(COLUMNS)
 
