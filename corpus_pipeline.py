@@ -49,9 +49,11 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     firsts = neardup.class_firsts(docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()))
     marked = docs.select(*COLUMNS, neardup.content_digest("text").alias("_content"))
     alone = F.col("doc_id").isNull() | F.col("_content").isNull()
-    names = firsts.select(F.col("doc_id").alias("_first"), F.col("content").alias("_same"))
-    kept = marked.where(~alone).join(names, (F.col("doc_id") == F.col("_first")) & (F.col("_content") == F.col("_same")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_content"]).unionByName(marked.where(alone)).select(COLUMNS)
+    names = firsts.select(F.col("doc_id").alias("_first"), F.col("content").alias("_same"), F.lit(True).alias("_is_first"))
+    named = marked.join(names, (F.col("doc_id") == F.col("_first")) & (F.col("_content") == F.col("_same")), "left")
+    # rows that repeat id and words are one; those in no class are told apart
+    kept = named.where(alone | F.col("_is_first")).withColumn("_own", F.when(alone, F.monotonically_increasing_id()).otherwise(F.lit(-1)))
+    return kept.dropDuplicates(["doc_id", "_content", "_own"]).select(COLUMNS)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

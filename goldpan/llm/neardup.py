@@ -48,9 +48,18 @@ class Settings:
     later_partners: int = 16
 
 
+def _words(text: str | None) -> list[str]:
+    """The words, or where there are only signs, their runs."""
+    return plain_words(text) or (text.split() if text else [])
+
+
+def _digest(words: list[str]) -> int:
+    return int.from_bytes(hashlib.md5(" ".join(words).encode("utf-8", "surrogatepass")).digest()[:8], "little", signed=True)
+
+
 def shingles(text: str | None, length: int) -> tuple[int | None, np.ndarray]:
     """A 64-bit digest of the words, and the hashes of the occurrence-labelled shingles; a text of fewer words is one shingle."""
-    words = plain_words(text) or ([w.decode("utf-8", "replace") for w in text.split()] if text else [])
+    words = _words(text)
     if not words:
         return None, np.empty(0, np.uint64)
     hashes = word_hashes(words)
@@ -64,8 +73,7 @@ def shingles(text: str | None, length: int) -> tuple[int | None, np.ndarray]:
         label = np.empty(len(runs), np.uint64)
         label[order] = (at - first).astype(np.uint64)
         runs = mixed(runs + label * np.uint64(0xD6E8FEB86659FD93))
-    digest = hashlib.md5(" ".join(words).encode("utf-8", "surrogatepass")).digest()
-    return int.from_bytes(digest[:8], "little", signed=True), runs
+    return _digest(words), runs
 
 
 def sketches(runs: np.ndarray, count: int, size: int) -> list[int]:
@@ -307,7 +315,8 @@ def linked_classes(contents: DataFrame, texts_of: Callable[[DataFrame], DataFram
 
 def text_digest(text: str | None) -> int | None:
     """The digest by which texts with the same words are one; null for a text without words."""
-    return shingles(text, 1)[0]
+    words = _words(text)
+    return _digest(words) if words else None
 
 
 @F.pandas_udf(LongType())

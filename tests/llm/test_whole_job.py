@@ -102,3 +102,10 @@ def test_pipeline_keeps_every_text_of_a_repeated_id(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.without_near_duplicates(spark, docs, "").collect()]
     assert sorted(kept, key=repr) == sorted(rows[:11] + rows[21:], key=repr)
+
+
+def test_texts_of_signs_alone_have_a_digest():
+    content, runs = neardup.shingles("!!! ??? ...", 5)
+    assert content == neardup.text_digest("!!!  ???\n...") and len(runs) == 1
+    assert neardup.shingles(" \n ", 5)[0] is None and neardup.text_digest(None) is None and neardup.text_digest("") is None
+    assert neardup.text_digest("A, b!") == neardup.shingles("a b", 5)[0]
