@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 
 from goldpan.operators import neighbors
@@ -114,3 +115,42 @@ def test_models_take_the_join_as_an_argument(spark):
         assert out.where("abs(yhat - y) < 0.5").count() >= 190
     scores = anomaly.local_outlier_factor(df, 10, join=hashed_knn_join)
     assert scores.count() == 800 and scores.where("lof < 2").count() > 700
+
+
+def test_cells_of_queries_share_blocks_and_large_cells_are_cut():
+    """A vector is sent to blocks, so their number follows the rows and not the cells."""
+    sizes = {c: 10 for c in range(40)} | {40: 250}
+    blocks, n = neighbors._blocks_of(sorted(sizes), sizes, 100)
+    assert n == 4 + 3 and blocks[40] == (4, 3)
+    assert all(sum(sizes[c] for c, (b, parts) in blocks.items() if b == block and parts == 1) <= 100 for block in range(n))
+
+
+@pytest.mark.parametrize("shift", [0.0, 1e4])
+def test_products_lose_no_neighbour(shift):
+    """Many ties and a far origin: the few pairs that are measured hold the nearest rows."""
+    rng = np.random.default_rng(7)
+    q, r = (rng.integers(0, 4, size=(n, 5)).astype(float) + shift for n in (60, 3000))
+    reach = np.full(len(q), np.inf)
+    found = neighbors._Best(np.arange(len(q)), pd.Series([np.array([i], dtype="i8").tobytes() for i in range(len(r))]), 6)
+    for i, j in neighbors._close(q, r, 6, reach):
+        found.add(i, j, neighbors._measured(q, r, i, j))
+    out = found.frame()
+    for i in range(len(q)):
+        d = np.round(np.linalg.norm(q[i] - r, axis=1), 9)
+        assert out.loc[out["qid"] == i, "rid"].tolist() == np.argsort(d, kind="stable")[:6].tolist()
+
+
+def test_a_query_is_sent_to_a_block_once_and_not_to_every_cell(spark, monkeypatch):
+    """Rows that the hashed join shuffles per query: one per table here, where it was one per table and visited cell."""
+    original = neighbors._unpack
+    df = spark.createDataFrame(mixture(1000), "id long, v array<double>")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counting(packed, d):
+        seen.add(len(packed))
+        return original(packed, d)
+
+    monkeypatch.setattr(neighbors, "_unpack", counting)
+    settings = Hashing(tables=3, cell_rows=64)
+    assert hashed_knn_join(df, df, 4, "id", "id", "v", "v", True, settings=settings).count() == 4000
+    assert 0 < seen.value <= 2 * 3 * 1000
