@@ -33,3 +33,17 @@ def test_repeated_holdout_covers_every_row_in_every_run(spark):
 def test_folds_are_disjoint_and_complete(spark):
     counts = split.folds(rows(spark), ["id"], 5).groupBy("fold").count().collect()
     assert sorted(r["fold"] for r in counts) == [0, 1, 2, 3, 4] and sum(r["count"] for r in counts) == 1000
+
+
+def test_rows_are_not_shuffled_by_stratum(spark, monkeypatch):
+    """A stratum with most rows never meets in one task; with many strata its rows are dealt, with the same result."""
+    df = rows(spark, 2000).withColumn("y", F.when(F.col("id") % 50 > 0, F.lit("most")).when(F.col("id") % 100 > 0, F.lit("few")))
+    marked = split.exact_holdout(df, ["id"], 0.2, 7, ["y"])
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    few = {(r["id"], r["is_test"]) for r in marked.collect()}
+    monkeypatch.setattr(split, "FEW_STRATA", 1)
+    many = split.exact_holdout(df, ["id"], 0.2, 7, ["y"])
+    assert "_salt" in many._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["id"], r["is_test"]) for r in many.collect()} == few and len(few) == 2000
+    assert sum(t for _, t in few) == math.ceil(0.2 * 1960) + 2 * math.ceil(0.2 * 20)
