@@ -44,8 +44,9 @@ class Settings:
     centres: int = 4
     partners: int = 4  # centres that a member is compared with in the first round
     # the same in later rounds, where few buckets are left and only members of the class with the greater root ask
-    later_centres: int = 16
+    later_centres: int = 32
     later_partners: int = 16
+    later_names: int = 4  # buckets that have to name a centre for it, or all if the member has fewer
 
 
 def _words(text: str | None) -> list[str]:
@@ -176,16 +177,16 @@ def _verified(s: Settings):
     return kept
 
 
-def _partners(first: bool, most: int):
+def _partners(first: bool, most: int, least: int):
     @F.pandas_udf("array<struct<centre:long,its_root:long>>")
-    def chosen(root: pd.Series, asked: pd.Series, centres: pd.Series, roots: pd.Series) -> pd.Series:
-        """Of the centres in other classes, not asked before, those that most buckets name; ties to the smaller."""
+    def chosen(root: pd.Series, asked: pd.Series, buckets: pd.Series, centres: pd.Series, roots: pd.Series) -> pd.Series:
+        """Of the centres in other classes, not asked before, those that most buckets name, ``least`` of them or all; ties to the smaller."""
         found = []
-        for own, before, c, r in zip(root, asked, centres, roots, strict=True):
+        for own, before, own_buckets, c, r in zip(root, asked, buckets, centres, roots, strict=True):
             c, r = np.asarray(c, np.int64), np.asarray(r, np.int64)
             new = (r != own if first else r < own) & ~np.isin(c, np.asarray(before, np.int64))
             names, at, counts = np.unique(c[new], return_index=True, return_counts=True)
-            best = np.lexsort((names, -counts))[:most]
+            best = np.lexsort((names, -counts))[:min(most, np.count_nonzero(counts >= min(least, own_buckets)))]
             found.append([{"centre": int(names[k]), "its_root": int(r[new][at[k]])} for k in best])
         return pd.Series(found, dtype="object")
 
@@ -214,9 +215,9 @@ def met_centres(front: DataFrame, n: int, s: Settings) -> DataFrame:
     met = placed.join(centres, ["sketch", "key"]).groupBy("content").agg(F.collect_list(F.struct(
         "sketch", "key", F.when(asks, F.col("centres")).otherwise(nothing).alias("centres"),
         F.when(asks, F.col("roots")).otherwise(nothing).alias("roots"))).alias("met"))
-    partners = _partners(n == 0, s.later_partners if n else s.partners)
+    partners = _partners(n == 0, s.later_partners if n else s.partners, s.later_names if n else 1)
     joined = met.join(front.select("content", "root", "asked"), "content").withColumn(
-        "partners", partners("root", "asked", F.flatten("met.centres"), F.flatten("met.roots")))
+        "partners", partners("root", "asked", F.size("met"), F.flatten("met.centres"), F.flatten("met.roots")))
     return joined.select(
         "content", "root", "partners", F.concat("asked", "partners.centre").alias("asked"),
         F.transform("met", lambda m: F.struct(m["sketch"], m["key"])).alias("keys"))
@@ -289,9 +290,11 @@ def linked_classes(contents: DataFrame, texts_of: Callable[[DataFrame], DataFram
 
     ``contents`` has content and prints (one key per sketch, then prefix keys of a short text, in buckets of their own); ``texts_of`` gives content and runs of the contents in a table.  In every
     bucket each member is compared with a few centres.  Centres are the contents first by digests of their own, so a centre turns up in all
-    buckets of its neighbours.  Buckets whose members are in several classes by then go on with other centres, until a round finds no
-    link.  These rounds only make the classes large: what is open after them, pairs that share a bucket and are in different classes, is
-    finished by ``open_links``.  Links are kept between classes, so later rounds are as small as what they find.
+    buckets of its neighbours.  Buckets whose members are in several classes by then go on with other centres.  These rounds only make the
+    classes large: what is open after them, pairs that share a bucket and are in different classes, is finished by ``open_links``.  A class
+    left apart costs it as many pairs as the class it belongs to has members, so the rounds go on while the moves of a round times the members
+    of the largest class are more than the pairs that the round compared.  Links are kept between classes, so later rounds are as small as what
+    they find.
     """
     front = contents.select(
         "content", F.col("content").alias("root"), F.array().cast("array<long>").alias("asked"),
@@ -307,10 +310,15 @@ def linked_classes(contents: DataFrame, texts_of: Callable[[DataFrame], DataFram
             F.col("root").alias("root_a"), F.col("p.its_root").alias("root_b"))
         found = verified(pairs, texts, s)
         if found.isEmpty():
-            rest = open_links(front, texts, s)
-            return moves if rest.isEmpty() else [*moves, components(rest)]
+            break
         moves.append(components(found))
+        compared = front.agg(F.sum(F.size("partners"))).first()[0]
         front = relabelled(front, moves[-1])
+        largest = front.groupBy("root").count().agg(F.max("count")).first()[0]
+        if moves[-1].count() * largest <= compared:
+            break
+    rest = open_links(front, texts, s)
+    return moves if rest.isEmpty() else [*moves, components(rest)]
 
 
 def text_digest(text: str | None) -> int | None:

@@ -109,3 +109,12 @@ def test_texts_of_signs_alone_have_a_digest():
     assert content == neardup.text_digest("!!!  ???\n...") and len(runs) == 1
     assert neardup.shingles(" \n ", 5)[0] is None and neardup.text_digest(None) is None and neardup.text_digest("") is None
     assert neardup.text_digest("A, b!") == neardup.shingles("a b", 5)[0]
+
+
+def test_later_rounds_ask_only_centres_that_several_buckets_name(spark):
+    """Forty texts share one bucket, as by a common line; only pairs share five more.  A text with a single bucket still asks."""
+    rows = [(i, i, [], [(0, 7)] + [(k, i // 2) for k in range(1, 6)]) for i in range(40)] + [(i, i, [], [(6, 9)]) for i in (100, 101)]
+    front = spark.createDataFrame(rows, "content long, root long, asked array<long>, keys array<struct<sketch:int,key:long>>")
+    met = neardup.met_centres(front, 1, neardup.Settings()).collect()
+    asked = {r["content"]: [p["centre"] for p in r["partners"]] for r in met}
+    assert asked == {i: [i - 1] if i % 2 else [] for i in [*range(40), 100, 101]}
