@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from goldpan.llm import substrings
 from goldpan.llm.decontaminate import Block, tiles
 from goldpan.llm.licenses import LicenseScanner, TokenAutomaton, license_words
 from goldpan.llm.neardup import shingles, similar, sketches
@@ -117,3 +118,22 @@ def test_main_text_of_pages():
     assert main_text(page) == "A & B\nThe first paragraph is long enough to be text <here>.\nShort."
     assert main_text(None) == main_text("") == main_text("<p></p>") == ""
     assert main_text("<div>" * 3000 + "deep text" + "</div>" * 3000) == "deep text"
+
+
+def test_a_passage_of_many_documents_is_compared_once_per_task():
+    starts, hashes = np.arange(3), np.array([5, 1 << 60, 1 << 63], np.uint64)
+    sent = substrings._dealt([(own, -own, starts, hashes) for own in (7, 3, 9, 4)])
+    asked = sent[~sent["known"]]
+    assert sorted(np.frombuffer(b"".join(asked["windows"]), np.uint64)) == sorted(hashes)
+    assert set(np.frombuffer(b"".join(asked["ids"]), np.int64)) == {3}
+    known = np.frombuffer(b"".join(sent["places"][sent["known"]]), np.int64)
+    assert sorted(known) == sorted((-own << 32) + s for own in (7, 9, 4) for s in range(3))
+
+
+def test_anchors_are_packed_and_sent_at_most_twice():
+    anchors = np.array([0, 1 << 20, 1 << 47, (1 << 48) - 1], np.uint64)
+    sent = substrings._tally([anchors] * 3 + [anchors[1:2] + np.uint64(1)])
+    values = [(at, v) for at, packed in zip(sent["segment"], sent["anchors"], strict=True) for v in substrings._unpacked(packed).tolist()]
+    assert len(values) == 9 and len(set(values)) == 5  # unlike ones of a segment stay unlike
+    slots = anchors % np.uint64(substrings.FILTER_BITS)
+    assert set(sent["segment"]) == set((slots // np.uint64(substrings.SEGMENT_BITS)).tolist())
