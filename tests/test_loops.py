@@ -7,7 +7,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from goldpan.evaluation import harness
-from goldpan.models import classifiers
+from goldpan.models import classifiers, registry
 from goldpan.operators import features
 from goldpan.queries import models as queries
 from goldpan.session import for_loops
@@ -79,3 +79,31 @@ def test_a_run_does_not_wait_for_the_last_fit_of_the_run_before(spark, many_part
     status = harness.fit_all(rows, "classification", ["a"], {"slow": slow}, ["row_id"], lambda name, run, out: out.count(), runs=3)
     assert [(r["run"], r["status"]) for r in status.orderBy("run").collect()] == [(0, "ok"), (1, "ok"), (2, "ok")]
     assert partitions == [8, 8, 8]
+
+
+def test_a_failed_fit_ends_an_evaluation(spark, tmp_path, monkeypatch):
+    """Scores are normalized over all models: a leaderboard without some of them looks like a result and is none."""
+    ids = spark.range(60).select(F.col("id").alias("doc_id"))
+    ids.withColumn("text", F.concat(F.lit("some words "), F.col("doc_id"))).write.parquet(f"{tmp_path}/documents.parquet")
+    ids.withColumn("quality", F.pmod("doc_id", F.lit(2))).write.parquet(f"{tmp_path}/labels.parquet")
+    begun = []
+
+    def broken(train):
+        begun.append("broken")
+        if len(begun) == 2:
+            raise RuntimeError("no memory left")
+        return lambda df: df.withColumns({"yhat": F.lit(0.0), "score": F.lit(0.5)})
+
+    some = {"Broken": lambda **p: broken, "Gaussian Naive Bayes": classifiers.gaussian_nb}
+    monkeypatch.setattr(registry, "CLASSIFIERS", some)
+    monkeypatch.setitem(registry.MODELS, "classification", some)
+    with pytest.raises(RuntimeError, match="Broken, run [01]: RuntimeError: no memory left"):
+        queries.eval_classification(spark, str(tmp_path))
+    assert 2 <= len(begun) <= 4
+
+    rows = ids.select(F.col("doc_id").alias("row_id"), F.col("doc_id").cast("double").alias("a"), F.col("doc_id").cast("double").alias("y"))
+    with pytest.raises(ValueError, match="no regression model 'Nothing'"):
+        harness.evaluate_regression(rows, ["a"], {"Nothing": None}, ["row_id"])
+    board, status = harness.evaluate(rows, "regression", {"regression": {"models": {"Nothing": None, "Linear Regression": None}, "Golden Score": {"MAE": 1.0}}},
+                                     ["a"], ["row_id"], runs=1)
+    assert {(r["model"], r["status"]) for r in status.collect()} == {("Nothing", "failed"), ("Linear Regression", "ok")} and board.count() == 1
