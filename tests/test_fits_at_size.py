@@ -39,3 +39,23 @@ def test_the_robust_kernel_fit_on_odd_rows(spark, lines):
     for wrong in ("null", "'NaN'"):
         with pytest.raises(Exception, match="finite"):
             regressors.rff_huber(4)(lines.withColumn("y", F.expr(f"IF(a > 1, CAST({wrong} AS DOUBLE), y)")))
+
+
+def test_the_weighted_median_is_an_expression(spark):
+    rng = np.random.default_rng(3)
+    for weights in ([0.5], [1.0, 1.0], [0.2, 0.9, 0.4, 0.4], list(map(float, rng.uniform(0, 2, 9)))):
+        values = rng.integers(0, 4, size=(40, len(weights))) / 2
+        names = [f"p{i}" for i in range(len(weights))]
+        df = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(values)], ["id", *names])
+        found = regressors._weighted_median(df, "m", names, weights)
+        order = values.argsort(axis=1, kind="stable")
+        upto = np.array(weights)[order].cumsum(axis=1)
+        expected = np.take_along_axis(values, order, axis=1)[np.arange(40), (upto >= upto[:, -1:] / 2).argmax(axis=1)]
+        assert [r["m"] for r in found.orderBy("id").collect()] == expected.tolist() and found.columns == ["id", *names, "m"]
+
+
+def test_adaboost_predicts_without_python(lines):
+    predicted = regressors.adaboost(3)(lines)(lines)
+    plan = predicted._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+    assert predicted.where("yhat IS NULL").isEmpty() and predicted.columns == [*lines.columns, "yhat", "score"]
